@@ -113,6 +113,11 @@ def village_fallback(sub: Column, village: Column) -> Column:
 
 
 def extract_place_phrase(text: Column) -> Column:
-    """First run of Latin words that ends in a place word, trimmed; null when there is none."""
-    found = F.regexp_extract(text, rf"(?U)([A-Za-z0-9\s]+(?:{PLACE_WORDS}))", 1)
+    """First run of Latin words that ends in a place word, trimmed; null when there is none.
+
+    A match always reaches back to the start of its run, so the look-behind only lets a run be tried once: the cost
+    stays linear in the text instead of quadratic in the run.
+    """
+    word = r"A-Za-z0-9\s\x1c-\x1f"
+    found = F.regexp_extract(text, rf"(?U)(?<![{word}])([{word}]+(?:{PLACE_WORDS}))", 1)
     return F.when(found != "", strip(found))

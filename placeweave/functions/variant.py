@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# JSON texts of the values that count as "nothing there" when one member backs up another.
-_EMPTY_JSON = ["null", '""', "{}", "[]", "0", "0.0", "false"]
+# Texts of empty, zero and false values; a string scalar that merely reads like one still holds something.
+_EMPTY_TEXTS = ["{}", "[]", "0", "0.0", "false"]
 
 
 def truthy(value: Column) -> Column:
     """True unless the value is missing, null, empty, zero or false."""
-    return F.coalesce(~F.to_json(value).isin(_EMPTY_JSON), F.lit(False))
+    text = as_text(value)
+    unclear = text.isin(_EMPTY_TEXTS)
+    return F.when(unclear, F.schema_of_variant(value) == "STRING").otherwise(F.coalesce(text != "", F.lit(False)))
 
 
 def either(first: Column, second: Column) -> Column:

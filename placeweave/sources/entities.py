@@ -76,10 +76,15 @@ def scan_entity_docs(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     return parse_entity_docs(read_documents(spark, paths))
 
 
+def known_slugs_of(files: DataFrame, path: str = "path") -> DataFrame:
+    """Distinct stems of the ``.md`` paths."""
+    slug = F.regexp_extract(path, r"([^/]*)\.md$", 1)
+    return files.filter(F.col(path).endswith(".md")).select(slug.alias("slug")).distinct()
+
+
 def known_slugs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Distinct file stems of the corpus, from file names alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(paths)
-    return files.select(F.regexp_extract("path", r"([^/]*)\.md$", 1).alias("slug")).distinct()
+    """Distinct file stems of a corpus, from file names alone."""
+    return known_slugs_of(spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(paths).select("path"))
 
 
 def _quoted(value: Column) -> Column:
