@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.address import PREMISES
 from ..functions.osm import geometry_ref, osm_type_code
 from ..functions.text import extract_place_phrase, slugify
-from ..functions.variant import as_text, non_empty, truthy
+from ..functions.variant import non_empty, truthy
 
 # Where a new entity's record says it comes from, and its kind.
 DEFAULT_SOURCE = "gov_hk/ALS-GeoJSON"
@@ -22,16 +21,19 @@ SUGGESTION_LIMIT = 200
 def entity_candidates(features: DataFrame, properties: str = "properties") -> DataFrame:
     """Distinct place names: village names of structured addresses, place phrases of free-text ones."""
     props = F.col(properties)
-    address = F.try_variant_get(props, "$.Address", "variant")
-    structured = F.try_variant_get(address, "$", "map<string,variant>").isNotNull()
+    # Only an object casts to a struct; its text is looked at only when it has no premises to read.
+    address = F.try_variant_get(props, "$.Address", "struct<PremisesAddress: variant>")
+    premises = address["PremisesAddress"]
+    text = F.when(premises.isNull(), F.try_variant_get(props, "$.Address", "string"))
+    absent = premises.isNull() & F.coalesce(text.isin("", "{}", "[]", "0", "0.0", "false"), F.lit(True))
 
     def village(lang: str) -> Column:
-        # The member must be an object: a bare text has no name to read.
-        path = f"{PREMISES}.{lang}PremisesAddress.{lang}Village.VillageName"
-        bare = path.replace("$.Address", "$")
-        return F.when(truthy(address), F.try_variant_get(props, path, "string")).otherwise(F.try_variant_get(props, bare, "string"))
+        member = f"{lang}PremisesAddress.{lang}Village.VillageName"
+        return F.when(premises.isNotNull(), F.try_variant_get(premises, f"$.{member}", "string")).when(
+            absent, F.try_variant_get(props, f"$.PremisesAddress.{member}", "string")
+        )
 
-    free_text = F.when(truthy(address) & ~structured, extract_place_phrase(as_text(address)))
+    free_text = F.when(address.isNull() & ~absent, extract_place_phrase(text))
     names = F.array_compact(F.array(non_empty(village("Chi")), non_empty(village("Eng")), free_text))
     return features.select(F.explode(names).alias("name")).distinct()
 

@@ -2,8 +2,9 @@
 
 The plan follows what one small aggregate over the labels says:
 
-* No cell is crowded (the usual case): every label is copied to the 3 x 3 cells around it, each cell holds one bounded
-  array, and each row looks up its own cell once. Broadcast when measured small, else one shuffle on the cell.
+* No cell is crowded (the usual case): every label is copied to the lookup cells within the radius, each cell keeps the
+  labels that are nearest to at least some spot in it as one bounded array, and each row looks up its own cell once.
+  Broadcast when measured small, else one shuffle on the cell.
 * Some cell is crowded: cells are divided by four per side until none is. Rows then descend from coarse to fine,
   keeping only the cells that can still hold the nearest label (closest corner no farther than another cell's farthest
   corner). No task ever holds more than ``crowd`` labels of a cell, and the result is still exact.
@@ -22,13 +23,17 @@ CROWD = 256
 SPLIT = 4
 MAX_DEPTH = 20
 
+# Lookup cells per radius: smaller cells hold fewer candidates but copy each label (2 * 2 + 1) ** 2 times.
+LOOKUP_SPLIT = 2
+LOOKUP_COPIES = (2 * LOOKUP_SPLIT + 1) ** 2
+
 
 def _cell(value: Column, side: float) -> Column:
     return F.floor(value / F.lit(side)).cast("bigint")
 
 
-def _around(cell: Column) -> Column:
-    return F.explode(F.array(*[cell + d for d in (-1, 0, 1)]))
+def _around(cell: Column, reach: int = 1) -> Column:
+    return F.explode(F.sequence(cell - reach, cell + reach))
 
 
 def _usable(*coords: str) -> Column:
@@ -118,11 +123,13 @@ def nearest_within(
         return points.withColumns({**nulls, distance_column: F.lit(None).cast("double")})
 
     if stats[0]["fullest"] <= crowd:
+        # Before pruning a cell holds at most the labels of the crowd-checked cells around it.
         blocks = _blocks(unique, radius)
-        copies = 9 * stats[0]["n"]
-        blocks = limit.hint(blocks, copies, 9 * (stats[0]["bytes"] + 48 * stats[0]["n"]))
+        copies = LOOKUP_COPIES * stats[0]["n"]
+        blocks = limit.hint(blocks, copies, LOOKUP_COPIES * (stats[0]["bytes"] + 48 * stats[0]["n"]))
         # Unusable coordinates leave the cell null, so such rows match nothing.
-        cells = {a: F.when(_usable(x, y), _cell(F.col(c), radius)) for a, c in (("_cx", x), ("_cy", y))}
+        side = radius / LOOKUP_SPLIT
+        cells = {a: F.when(_usable(x, y), _cell(F.col(c), side)) for a, c in (("_cx", x), ("_cy", y))}
         joined = points.withColumns(cells).join(blocks, ["_cx", "_cy"], "left")
         best = _best(F.col(x), F.col(y), F.col("_block"), radius, order)
         return joined.withColumn("_best", best).withColumns(outputs(F.col("_best"))).select(
@@ -136,13 +143,23 @@ def nearest_within(
 
 
 def _blocks(unique: DataFrame, radius: float) -> DataFrame:
-    """Cell -> labels of the 3 x 3 cells around it; at most nine crowds per array."""
-    cells = unique.withColumn("_cx", _around(_cell(F.col("px"), radius))).withColumn("_cy", _around(_cell(F.col("py"), radius)))
-    return (
-        cells
-        .groupBy("_cx", "_cy")
-        .agg(F.collect_list(F.struct("px", "py", "label")).alias("_block"))
+    """Lookup cell -> the labels that can be the nearest one within the radius for some spot of the cell."""
+    side = radius / LOOKUP_SPLIT
+    cells = unique.withColumn("_cx", _around(_cell(F.col("px"), side), LOOKUP_SPLIT)).withColumn(
+        "_cy", _around(_cell(F.col("py"), side), LOOKUP_SPLIT)
     )
+    blocks = cells.groupBy("_cx", "_cy").agg(F.collect_list(F.struct("px", "py", "label")).alias("_block"))
+
+    def distance(p: Column, far: bool) -> Column:
+        return _cell_distance(p["px"], p["py"], F.col("_cx"), F.col("_cy"), side, far)
+
+    def prune(v: Column) -> Column:
+        return F.filter(v["block"], lambda p: distance(p, False) <= v["reach"])
+
+    reach = F.least(F.array_min(F.transform("_block", lambda p: distance(p, True))), F.lit(float(radius) * (1 + 1e-9)))
+    # The one-element array names the reach, so it is worked out once per cell and not once per label.
+    pruned = F.get(F.transform(F.array(F.struct(F.col("_block").alias("block"), reach.alias("reach"))), prune), F.lit(0))
+    return blocks.select("_cx", "_cy", pruned.alias("_block"))
 
 
 def _box_distance(v: Column, c: Column, side: float, far: bool) -> Column:
@@ -153,6 +170,11 @@ def _box_distance(v: Column, c: Column, side: float, far: bool) -> Column:
     return F.greatest(lo - v, v - hi, F.lit(0.0))
 
 
+def _cell_distance(x: Column, y: Column, cx: Column, cy: Column, side: float, far: bool) -> Column:
+    dx, dy = _box_distance(x, cx, side, far), _box_distance(y, cy, side, far)
+    return F.sqrt(dx * dx + dy * dy)
+
+
 def _descend(points: DataFrame, unique: DataFrame, radius: float, x: str, y: str, order: Sequence[str], limit: BroadcastLimit, crowd: int) -> DataFrame:
     ensure_checkpoint_dir(points.sparkSession)
     unique = unique.checkpoint()
@@ -189,13 +211,8 @@ def _descend(points: DataFrame, unique: DataFrame, radius: float, x: str, y: str
             .withColumns({"cx": F.floor(F.col("nx") / SPLIT).cast("bigint"), "cy": F.floor(F.col("ny") / SPLIT).cast("bigint")})
         )
         step = frontier.join(hint(children, k + 1), ["cx", "cy"]).select("_x", "_y", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
-        near, far = (
-            F.sqrt(
-                F.pow(_box_distance(F.col("_x"), F.col("cx"), side[k + 1], f), F.lit(2.0))
-                + F.pow(_box_distance(F.col("_y"), F.col("cy"), side[k + 1], f), F.lit(2.0))
-            )
-            for f in (False, True)
-        )
+        at = [F.col(c) for c in ("_x", "_y", "cx", "cy")]
+        near, far = (_cell_distance(*at, side[k + 1], f) for f in (False, True))
         reach = F.min(far).over(Window.partitionBy("_x", "_y"))
         frontier = (
             step.select("*", near.alias("_near"), reach.alias("_reach"))
