@@ -1,13 +1,14 @@
 """Feature -> canonical column expressions.
 
-``parts`` is one language's address block, read from VARIANT into a struct whose polymorphic members stay VARIANT.
+One language's address block is read from VARIANT twice: with its members as objects, and with them as text. A member
+that is an object there is null in neither, a scalar is null in the first, and a missing one is null in both.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .variant import as_object, as_text, either, non_empty
+from .variant import as_object, as_text, either, holds, non_empty
 
 # Region codes and their names.
 REGION_NAMES = {
@@ -16,41 +17,47 @@ REGION_NAMES = {
     "NT": "New Territories",
 }
 
-_BLOCK = "BlockNo: variant, BlockDescriptor: string"
 _PHASE = "PhaseName: string"
-_ESTATE = "EstateName: string, ChiPhase: variant, EngPhase: variant"
-_VILLAGE = "VillageName: string"
-_STREET = "StreetName: string, Street: string, BuildingNoFrom: string, BuildingNoTo: string"
+_MEMBERS = {
+    "Block": "BlockNo: variant, BlockDescriptor: string",
+    "Phase": _PHASE,
+    "Estate": "EstateName: string, ChiPhase: variant, EngPhase: variant",
+    "Village": "VillageName: string",
+    "Street": "StreetName: string, Street: string, BuildingNoFrom: string, BuildingNoTo: string",
+}
 
-_PARTS = ", ".join(
-    ["BuildingName: string", "ChiDistrict: string", "EngDistrict: string", "Region: string"]
-    + [f"{lang}{node}: variant" for node in ("Block", "Phase", "Estate", "Village", "Street") for lang in ("Chi", "Eng")]
-)
+_PLAIN = "BuildingName: string, ChiDistrict: string, EngDistrict: string, Region: string"
+_OBJECTS = ", ".join([_PLAIN] + [f"{lang}{m}: struct<{f}>" for m, f in _MEMBERS.items() for lang in ("Chi", "Eng")])
+_TEXTS = ", ".join(f"{lang}{m}: string" for m in _MEMBERS for lang in ("Chi", "Eng"))
 
 PREMISES = "$.Address.PremisesAddress"
 
 
-def address_parts(properties: Column, lang: str) -> Column:
-    """The ``Chi`` or ``Eng`` block as a struct; null when absent."""
-    return F.try_variant_get(properties, f"{PREMISES}.{lang}PremisesAddress", f"struct<{_PARTS}>")
+def address_parts(properties: Column, lang: str) -> tuple[Column, Column]:
+    """The ``Chi`` or ``Eng`` block with its members as objects, and as texts; null when absent."""
+    path = f"{PREMISES}.{lang}PremisesAddress"
+    return tuple(F.try_variant_get(properties, path, f"struct<{fields}>") for fields in (_OBJECTS, _TEXTS))
 
 
-def resolve_parts(parts: Column) -> Column:
-    """Pick each component's Chi-or-Eng node once and split it into its object and its text form."""
+def resolve_parts(properties: Column, lang: str, objects: Column, texts: Column) -> Column:
+    """Pick each member's Chi-or-Eng node once, keeping both its object and its text form."""
+    path = f"{PREMISES}.{lang}PremisesAddress"
 
-    def node(name: str, fields: str) -> list[Column]:
-        value = either(parts[f"Chi{name}"], parts[f"Eng{name}"])
-        return [as_object(value, fields).alias(name.lower()), as_text(value).alias(f"{name.lower()}_text")]
+    def node(member: str) -> list[Column]:
+        chi, eng = f"Chi{member}", f"Eng{member}"
+        # Only a text such as "0" or "{}" needs a look at the value's own type.
+        first = holds(texts[chi], lambda: F.try_variant_get(properties, f"{path}.{chi}", "variant"))
+        name = member.lower()
+        return [
+            F.when(first, objects[chi]).otherwise(objects[eng]).alias(name),
+            F.when(first, texts[chi]).otherwise(texts[eng]).alias(f"{name}_text"),
+        ]
 
     return F.struct(
-        *node("Block", _BLOCK),
-        *node("Phase", _PHASE),
-        *node("Estate", _ESTATE),
-        *node("Village", _VILLAGE),
-        *node("Street", _STREET),
-        parts["BuildingName"].alias("building"),
-        F.coalesce(non_empty(parts["ChiDistrict"]), non_empty(parts["EngDistrict"])).alias("district"),
-        parts["Region"].alias("region"),
+        *[c for member in _MEMBERS for c in node(member)],
+        objects["BuildingName"].alias("building"),
+        F.coalesce(non_empty(objects["ChiDistrict"]), non_empty(objects["EngDistrict"])).alias("district"),
+        objects["Region"].alias("region"),
     )
 
 

@@ -15,7 +15,7 @@ _WS = r"[\s\x1c-\x1f]"
 _WS_CHARS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # ASCII and the two main CJK ideograph blocks are unchanged by NFKC, alone or side by side.
-_NEEDS_NORMALIZING = r"[^\x00-\x7F㐀-䶿一-鿿]|^[\t-\r\x1c-\x20]|[\t-\r\x1c-\x20]\z"
+_MAY_CHANGE = r"[^\x00-\x7F㐀-䶿一-鿿]"
 
 # The 18 districts, short English name and Chinese name.
 DISTRICTS = {
@@ -48,6 +48,13 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)^{_WS}+|{_WS}+\z", "")
 
 
+def _may_change(text: Column) -> Column:
+    """Holds for every text that stripping or NFKC could alter (and a few more): a character outside the unchanging
+    blocks, or an end at or below U+0020, where all ASCII white space lies."""
+    ends = (F.left(text, F.lit(1)) <= " ") | (F.right(text, F.lit(1)) <= " ")
+    return text.rlike(_MAY_CHANGE) | ((text != "") & ends)
+
+
 def normalize_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Strip and NFKC-normalise the columns in place, in one Python call per batch.
 
@@ -64,7 +71,7 @@ def normalize_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return batch
 
     screened = F.struct(
-        *[F.when(F.col(c).rlike(_NEEDS_NORMALIZING), F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)]
+        *[F.when(_may_change(F.col(c)), F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)]
     )
     replaced = {c: F.coalesce(F.col("_nfkc")[f"t{i}"], F.col(c)) for i, c in enumerate(columns)}
     return df.withColumn("_nfkc", nfkc(screened)).withColumns(replaced).drop("_nfkc")

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Texts of empty, zero and false values; a string scalar that merely reads like one still holds something.
 _EMPTY_TEXTS = ["{}", "[]", "0", "0.0", "false"]
 
 
+def holds(text: Column, value: Callable[[], Column]) -> Column:
+    """True unless the value with this text is missing, null, empty, zero or false."""
+    is_string = F.schema_of_variant(value()) == "STRING"
+    return F.when(text.isin(_EMPTY_TEXTS), is_string).otherwise(F.coalesce(text != "", F.lit(False)))
+
+
 def truthy(value: Column) -> Column:
-    """True unless the value is missing, null, empty, zero or false."""
-    text = as_text(value)
-    unclear = text.isin(_EMPTY_TEXTS)
-    return F.when(unclear, F.schema_of_variant(value) == "STRING").otherwise(F.coalesce(text != "", F.lit(False)))
+    return holds(as_text(value), lambda: value)
 
 
 def either(first: Column, second: Column) -> Column:

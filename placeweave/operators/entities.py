@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.osm import geometry_ref, osm_type_code
 from ..functions.text import extract_place_phrase, slugify
 from ..functions.variant import non_empty, truthy
+from .sizing import spread_key
 
 # Where a new entity's record says it comes from, and its kind.
 DEFAULT_SOURCE = "gov_hk/ALS-GeoJSON"
@@ -186,13 +187,15 @@ def enrich_entities(
     )
     found = asked.join(best, "_query", "left")
 
-    # Details are fetched only for hits that say what they are; a null code matches nothing.
+    # Details are fetched only for hits that say what they are; the other rows get keys that match nothing.
     typed = (F.coalesce("osm_type", F.lit("")) != "") & (F.coalesce("osm_id", F.lit(0)) != 0)
     found = found.withColumn("_code", F.when(F.lit(fetch_geometry) & typed, osm_type_code(F.col("osm_type"))))
-    by_element = details.groupBy(F.col("osm_code").alias("_code"), F.col("osm_id").alias("_osm_id")).agg(
+    element = spread_key(F.col("osm_id"), F.col("_code").isNotNull(), F.pmod(F.xxhash64("slug"), F.lit(65536)))
+    found = found.withColumns({"_element": element, "_letter": F.coalesce("_code", F.lit(""))})
+    by_element = details.groupBy(F.col("osm_code").alias("_letter"), F.col("osm_id").alias("_element")).agg(
         F.min_by("details", F.to_json("details")).alias("_details")
     )
-    detailed = found.withColumn("_osm_id", F.col("osm_id")).join(by_element, ["_code", "_osm_id"], "left")
+    detailed = found.join(by_element, ["_letter", "_element"], "left")
 
     ok = F.coalesce("_hit", F.lit(False))
     is_new = F.col("_known").isNull()

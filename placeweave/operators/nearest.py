@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import ensure_checkpoint_dir
-from .sizing import BroadcastLimit
+from .sizing import BroadcastLimit, row_salt, spread_coordinate, spread_key
 
 CROWD = 256
 SPLIT = 4
@@ -127,9 +127,8 @@ def nearest_within(
         blocks = _blocks(unique, radius)
         copies = LOOKUP_COPIES * stats[0]["n"]
         blocks = limit.hint(blocks, copies, LOOKUP_COPIES * (stats[0]["bytes"] + 48 * stats[0]["n"]))
-        # Unusable coordinates leave the cell null, so such rows match nothing.
-        side = radius / LOOKUP_SPLIT
-        cells = {a: F.when(_usable(x, y), _cell(F.col(c), side)) for a, c in (("_cx", x), ("_cy", y))}
+        side, usable, salt = radius / LOOKUP_SPLIT, _usable(x, y), row_salt(points)
+        cells = {a: spread_key(_cell(F.col(c), side), usable, salt) for a, c in (("_cx", x), ("_cy", y))}
         joined = points.withColumns(cells).join(blocks, ["_cx", "_cy"], "left")
         best = _best(F.col(x), F.col(y), F.col("_block"), radius, order)
         return joined.withColumn("_best", best).withColumns(outputs(F.col("_best"))).select(
@@ -137,9 +136,10 @@ def nearest_within(
         )
 
     found = _descend(points.filter(_usable(x, y)), unique, radius, x, y, order, limit, crowd)
-    # Null-unsafe on purpose: rows without coordinates stay unmatched.
-    joined = points.join(found, (points[x] == found["_x"]) & (points[y] == found["_y"]), "left")
-    return joined.withColumns(outputs(F.col("_best"))).select(*[points[c] for c in points.columns], *carry.values(), distance_column)
+    usable, salt = _usable(x, y), row_salt(points)
+    keys = {a: spread_coordinate(F.col(c), usable, salt) for a, c in (("_x", x), ("_y", y))}
+    joined = points.withColumns(keys).join(found, ["_x", "_y"], "left")
+    return joined.withColumns(outputs(F.col("_best"))).select(*points.columns, *carry.values(), distance_column)
 
 
 def _blocks(unique: DataFrame, radius: float) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Size checks that stand in front of every broadcast hint."""
+"""Size checks in front of every broadcast hint, and keys that keep unmatched rows from piling up in one task."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A broadcast side never exceeds this many rows nor bytes; beyond it the same join is shuffled.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -25,3 +25,24 @@ class BroadcastLimit:
 
 
 NEVER = BroadcastLimit(rows=-1, bytes=-1)
+
+
+_SPREAD = 65536
+
+
+def row_salt(df: DataFrame) -> Column:
+    """A repeatable number per row, from its plain columns, so a retried task gives the same one."""
+    plain = [df[f.name] for f in df.schema if isinstance(f.dataType, T.AtomicType) and f.dataType.typeName() != "variant"]
+    return F.pmod(F.xxhash64(*plain), F.lit(_SPREAD))
+
+
+def spread_key(key: Column, usable: Column, salt: Column) -> Column:
+    """``key`` where usable, else one of many values no cell or coordinate can take.
+
+    A left join sends every null key to the same task; these keys match nothing either but fall everywhere.
+    """
+    return F.when(usable, key).otherwise(F.lit(-(2**62)) + salt)
+
+
+def spread_coordinate(value: Column, usable: Column, salt: Column) -> Column:
+    return F.when(usable, value.cast("double")).otherwise(F.lit(-1e200) * (salt + 1))

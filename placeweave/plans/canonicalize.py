@@ -34,14 +34,15 @@ def rejected_features(features: DataFrame) -> DataFrame:
 def resolve_features(parsed: DataFrame) -> DataFrame:
     """Add the resolved ``chi`` and ``eng`` component structs.
 
-    Done in two projections so each VARIANT path is read once and the later expressions only touch plain structs.
+    Done in two projections so each block is read once and the later expressions only touch plain structs.
     """
-    blocks = parsed.withColumns(
-        {"_chi": A.address_parts(F.col("props"), "Chi"), "_eng": A.address_parts(F.col("props"), "Eng")}
-    )
-    return blocks.withColumns(
-        {"chi": A.resolve_parts(F.col("_chi")), "eng": A.resolve_parts(F.col("_eng"))}
-    )
+    props = F.col("props")
+    blocks, resolved = {}, {}
+    for lang in ("Chi", "Eng"):
+        objects, texts = f"_{lang.lower()}", f"_{lang.lower()}_texts"
+        blocks[objects], blocks[texts] = A.address_parts(props, lang)
+        resolved[lang.lower()] = A.resolve_parts(props, lang, F.col(objects), F.col(texts))
+    return parsed.withColumns(blocks).withColumns(resolved)
 
 
 def canonicalize_feature(features: DataFrame, phase_from_estate: bool = False) -> DataFrame:
