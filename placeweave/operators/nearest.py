@@ -36,11 +36,9 @@ def _around(cell: Column, reach: int = 1) -> Column:
     return F.explode(F.sequence(cell - reach, cell + reach))
 
 
-def _usable(*coords: str) -> Column:
-    usable = F.lit(True)
-    for c in coords:
-        usable = usable & F.col(c).isNotNull() & ~F.isnan(F.col(c))
-    return usable
+def _usable(x: str, y: str) -> Column:
+    """Both coordinates are finite; each is read once, which matters when it stands for a projection."""
+    return F.coalesce(F.abs(F.col(x)) + F.abs(F.col(y)) < F.lit(float("inf")), F.lit(False))
 
 
 def unique_labels(labels: DataFrame, x: str, y: str, order: Sequence[str], carry: Sequence[str]) -> DataFrame:
