@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from placeweave.functions import address as A
 from placeweave.operators.dedup import dedup_key as dedup_key_of, first_wins
 from placeweave.operators.profile import fill_rates as fill_rates_of
 from placeweave.plans.canonicalize import canonicalize as canonicalize_features
 from placeweave.plans.canonicalize import canonicalize_feature as canonicalize_rows
-from placeweave.plans.canonicalize import parse_features, resolve_features
+from placeweave.plans.canonicalize import canonicalize_files, parse_features, resolve_features
 from placeweave.schemas import CANONICAL
 from placeweave.session import scratch_path
 from placeweave.sources.canonical import read_canonical, write_canonical
-from placeweave.sources.geojson import scan_features
+from placeweave.sources.geojson import scan_feature_lines as read_feature_lines, scan_features
 
 from . import expected as X
 from .inputs import address_features, written_features
@@ -143,8 +143,24 @@ def dedup_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT {X.CANONICAL_COLUMNS} FROM ({X.canonical('k')})")
 def canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Collections on disk -> canonical table; file order is ``k`` order."""
-    return canonicalize_features(scan_features(spark, written_features(spark, sf_dir) + "/*/*.txt"))
+    """Collections on disk, read by line -> canonical table; file order is ``k`` order."""
+    return canonicalize_files(spark, written_features(spark, sf_dir) + "/*/*.txt", one_feature_per_line=True)
+
+
+@query(
+    f"""SELECT CAST(floor(k / 2000) AS BIGINT) AS bucket, row_number() OVER (PARTITION BY floor(k / 2000) ORDER BY k) - 1 AS pos,
+   easting, csu FROM ({X.PREMISES})"""
+)
+def scan_feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same collections read as splittable lines; the order columns rank lines as they stand in the file."""
+    lines = read_feature_lines(spark, written_features(spark, sf_dir) + "/*/*.txt")
+    place = F.row_number().over(Window.partitionBy("path").orderBy("block", "pos")) - 1
+    return lines.withColumn("place", place).select(
+        F.regexp_extract("path", BUCKET, 1).cast("bigint").alias("bucket"),
+        F.col("place").cast("bigint").alias("pos"),
+        F.get_json_object("properties", "$.Easting").cast("double").alias("easting"),
+        F.get_json_object("properties", "$.Address.PremisesAddress.BuildingCsuInformation.CsuId").alias("csu"),
+    )
 
 
 _NULL_IF_EMPTY = ", ".join(

@@ -10,7 +10,7 @@ from ..functions import address as A
 from ..functions.text import map_district, normalize_text_columns
 from ..operators.dedup import dedup_key, first_wins
 from ..schemas import CANONICAL, TEXT_COLUMNS
-from ..sources.geojson import scan_features
+from ..sources.geojson import scan_feature_lines, scan_features
 
 # Fixed value: provenance text of rows built from the government address feed.
 DEFAULT_SOURCE = "gov_hk/ALS-GeoJSON"
@@ -107,5 +107,9 @@ def canonicalize(
     )
 
 
-def canonicalize_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, **options) -> DataFrame:
+def canonicalize_files(
+    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, one_feature_per_line: bool = False, **options
+) -> DataFrame:
+    if one_feature_per_line:
+        return canonicalize(scan_feature_lines(spark, paths, recursive), ("path", "block", "pos"), **options)
     return canonicalize(scan_features(spark, paths, recursive), **options)

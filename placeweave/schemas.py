@@ -38,13 +38,9 @@ CANONICAL_WITH_SUB_DISTRICT = T.StructType(
 )
 
 # Polymorphic members stay JSON text here and become VARIANT after the explode.
-FEATURE_COLLECTION = _struct(
-    {
-        "features": T.ArrayType(
-            _struct({"geometry": _struct("type coordinates"), "properties": STRING})
-        )
-    }
-)
+FEATURE = _struct({"geometry": _struct("type coordinates"), "properties": STRING})
+
+FEATURE_COLLECTION = _struct({"features": T.ArrayType(FEATURE)})
 
 LAT_LON = _struct({"lat": DOUBLE, "lon": DOUBLE})
 VERTEX = _struct({"x": DOUBLE, "y": DOUBLE})

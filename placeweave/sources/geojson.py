@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..schemas import FEATURE_COLLECTION
+from ..schemas import FEATURE, FEATURE_COLLECTION
+from .lines import object_lines
 
 
 def scan_features(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False) -> DataFrame:
     """(path, pos, geometry, properties) of every feature; ``properties`` and the coordinates stay JSON text.
 
     A directory is searched for ``*.geojson`` at any depth when ``recursive``; otherwise paths and globs are taken as
-    given. Each file is one JSON document and so one task: land large feeds once with :func:`land_features`.
+    given. Each file is one JSON document and so one task and one row: use :func:`scan_feature_lines` for files too
+    large for that, and land feeds that are read often with :func:`land_features`.
     """
     reader = (
         spark.read.schema(FEATURE_COLLECTION)
@@ -25,6 +27,18 @@ def scan_features(spark: SparkSession, paths: str | Sequence[str], recursive: bo
     return explode_features(reader.json(paths), F.col("_metadata.file_path"))
 
 
+def scan_feature_lines(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False) -> DataFrame:
+    """(path, block, pos, geometry, properties) of collections written with one feature per line.
+
+    Files are split between tasks, so one file may hold any share of the rows. Order columns: ``path, block, pos``.
+    """
+    lines = object_lines(spark, paths, "*.geojson" if recursive else None)
+    feature = F.from_json("json", FEATURE).alias("feature")
+    return lines.select("path", "block", "pos", feature).select(
+        "path", "block", "pos", "feature.geometry", "feature.properties"
+    )
+
+
 def explode_features(collections: DataFrame, path: Column) -> DataFrame:
     return collections.select(path.alias("path"), F.posexplode("features").alias("pos", "feature")).select(
         "path", "pos", "feature.geometry", "feature.properties"
@@ -33,6 +47,6 @@ def explode_features(collections: DataFrame, path: Column) -> DataFrame:
 
 def land_features(features: DataFrame, target: str, partitions: int | None = None) -> DataFrame:
     """Write the exploded features to Parquet, spread over all tasks, and read them back from there."""
-    spread = features.repartition(partitions) if partitions else features.repartition("path", "pos")
+    spread = features.repartition(partitions) if partitions else features.repartition(*[c for c in ("path", "block", "pos") if c in features.columns])
     spread.write.mode("overwrite").parquet(target)
     return features.sparkSession.read.schema(features.schema).parquet(target)

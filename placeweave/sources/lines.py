@@ -1,0 +1,25 @@
+"""JSON documents that hold one object per line, read as splittable text."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def object_lines(spark: SparkSession, paths: str | Sequence[str], recursive_glob: str | None = None) -> DataFrame:
+    """(path, block, pos, json) of every line that is one JSON object, commas between lines removed.
+
+    A large file is cut into blocks read by different tasks, so its size does not matter. ``(path, block, pos)`` sorts
+    like the lines of the files: ``pos`` grows within a block, and a block is always read by one task.
+    """
+    reader = spark.read
+    if recursive_glob:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", recursive_glob)
+    lines = reader.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.regexp_replace("value", r"^[\s,]+|[\s,]+$", "").alias("json"),
+    )
+    return lines.filter(F.col("json").startswith("{") & F.col("json").endswith("}"))

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schemas import OSM_DUMP
+from ..schemas import OSM_DUMP, OSM_ELEMENT
+from .lines import object_lines
 
 
 def scan_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -15,3 +16,9 @@ def scan_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return dump.select(
         F.col("_metadata.file_path").alias("path"), F.posexplode("elements").alias("pos", "el")
     ).select("path", "pos", "el.*")
+
+
+def scan_element_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """As :func:`scan_elements` for dumps with one element per line; files are split between tasks."""
+    element = F.from_json("json", OSM_ELEMENT).alias("el")
+    return object_lines(spark, paths).select("path", "block", "pos", element).select("path", "block", "pos", "el.*")

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from placeweave.plans.canonicalize import canonicalize, canonicalize_feature, canonicalize_files, rejected_features
-from placeweave.sources.geojson import land_features, scan_features
+from placeweave.sources.geojson import land_features, scan_feature_lines, scan_features
 
 SCHEMA = "path string, pos int, geometry struct<type:string,coordinates:string>, properties string"
 
@@ -154,6 +154,22 @@ def test_landed_features_give_the_same_table(spark, tmp_path):
     assert sorted(map(tuple, canonicalize(landed).collect())) == sorted(map(tuple, canonicalize(scanned).collect()))
 
 
+def test_large_files_are_split_by_line(spark, tmp_path):
+    """One feature per line, cut into many blocks: same table as the whole-document scan, first copy still wins."""
+    features = [feature(f"id{i % 700}", coordinates=(100 + i / 1000, 20)) for i in range(1000)]
+    body = ",\n".join(json.dumps(f, ensure_ascii=False) for f in features)
+    (tmp_path / "a.geojson").write_text('{"type": "FeatureCollection", "features": [\n' + body + "\n]}\n", encoding="utf8")
+    whole = canonicalize_files(spark, str(tmp_path), recursive=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = canonicalize_files(spark, str(tmp_path), recursive=True, one_feature_per_line=True)
+        scanned = scan_feature_lines(spark, str(tmp_path), recursive=True)
+        assert scanned.count() == 1000 and scanned.select("block").distinct().count() > 5
+        assert sorted(map(str, lines.collect())) == sorted(map(str, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_hot_key_keeps_the_first_copy(spark):
     """A third of all rows share one key; partial aggregation runs before the shuffle and the first row wins."""
     features = [feature("HOT" if i % 3 == 0 else f"id{i}", coordinates=(100 + i / 100, 20)) for i in range(300)]

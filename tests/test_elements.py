@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from placeweave.functions.osm import matches_any_selector, osm_area_id, osm_type_code
 from placeweave.operators import elements as E
 from placeweave.plans.spatial_enrich import spatial_enrich_elements, write_enriched
-from placeweave.sources.osm import scan_elements
+from placeweave.sources.osm import scan_element_lines, scan_elements
 
 
 def geom(*pts):
@@ -79,3 +79,11 @@ def test_ids_codes_and_selectors(spark):
 def test_elements_in_area(spark, tmp_path):
     area = spark.createDataFrame([([(0.5, 0.5), (2.5, 0.5), (2.5, 2.5), (0.5, 2.5)],)], "ring array<struct<x:double,y:double>>")
     assert ids(E.elements_in_area(dump(spark, tmp_path), area)) == [1, 3, 4, 10, 11, 12, 21, 22, 23]
+
+
+def test_element_lines(spark, tmp_path):
+    whole = dump(spark, tmp_path).drop("path", "pos")
+    lines = ",\n".join(json.dumps(e, ensure_ascii=False) for e in ELEMENTS)
+    (tmp_path / "lines.json").write_text('{"elements": [\n' + lines + "\n]}", encoding="utf8")
+    split = scan_element_lines(spark, str(tmp_path / "lines.json")).drop("path", "block", "pos")
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
