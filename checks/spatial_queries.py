@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from placeweave.functions.osm import osm_area_id as area_id_of, osm_type_code as type_code_of
 from placeweave.operators import elements as E
 from placeweave.operators.nearest import nearest_within
+from placeweave.operators.profile import sub_district_provenance as provenance_of
 from placeweave.plans import spatial_enrich as S
 from placeweave.plans.canonicalize import canonicalize as canonicalize_features
 from placeweave.plans.sub_district import derive_sub_district as derive_localities
@@ -167,6 +168,15 @@ def derive_sub_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT CASE WHEN sub_district_dist_m IS NOT NULL THEN 'geographic'
+   WHEN sub_district_chi IS NOT NULL OR sub_district_eng IS NOT NULL THEN 'village' ELSE 'none' END AS provenance,
+   count(*) AS cnt FROM ({_sub_district_sql()}) GROUP BY 1"""
+)
+def sub_district_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return provenance_of(derive_sub_district(spark, sf_dir))
+
+
 @query(
     f"""SELECT a.addr_osm_id, b.osm_id AS building_osm_id FROM ({X.ADDRESSES}) a
   LEFT JOIN ({X.BUILDING_RINGS}) b ON {X.in_square('a.lon', 'a.lat')}"""

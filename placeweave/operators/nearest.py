@@ -41,16 +41,20 @@ def _usable(x: str, y: str) -> Column:
     return F.coalesce(F.abs(F.col(x)) + F.abs(F.col(y)) < F.lit(float("inf")), F.lit(False))
 
 
-def unique_labels(labels: DataFrame, x: str, y: str, order: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """One label per exact position, the first by ``order``: copies of a position can never win a tie."""
+def _placed(labels: DataFrame, x: str, y: str, order: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """(px, py, label) of the labels with usable coordinates."""
     label = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *carry])])
-    return (
-        labels.filter(_usable(x, y))
-        .groupBy(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
-        .agg(F.min_by(label, F.struct(*order)).alias("label"))
+    return labels.filter(_usable(x, y)).select(
+        F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"), label.alias("label")
     )
 
 
+def _unique(placed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One label per exact position, the first by ``order``: the other copies can never win a tie."""
+    first = F.min_by("label", F.struct(*[F.col(f"label.{c}") for c in order]))
+    return placed.groupBy("px", "py").agg(first.alias("label"))
+
+
 def _crowding(labels: DataFrame, radius: float, depth: int) -> list:
     """Per level: cells, labels and the fullest cell. One pass, partial counts before the shuffle."""
     levels = F.explode(
@@ -108,9 +112,9 @@ def nearest_within(
     if radius <= 0:
         raise ValueError("radius must be positive")
     x, y = point_xy
-    unique = unique_labels(labels, *label_xy, order, list(carry))
-    stats = _crowding(unique, radius, 1)
-    label_type = unique.schema["label"].dataType
+    placed = _placed(labels, *label_xy, order, list(carry))
+    stats = _crowding(placed, radius, 1)
+    label_type = placed.schema["label"].dataType
 
     def outputs(best: Column) -> dict[str, Column]:
         out = {new: best["label"][old] for old, new in carry.items()}
@@ -122,7 +126,7 @@ def nearest_within(
 
     if stats[0]["fullest"] <= crowd:
         # Before pruning a cell holds at most the labels of the crowd-checked cells around it.
-        blocks = _blocks(unique, radius)
+        blocks = _blocks(placed, radius)
         copies = LOOKUP_COPIES * stats[0]["n"]
         blocks = limit.hint(blocks, copies, LOOKUP_COPIES * (stats[0]["bytes"] + 48 * stats[0]["n"]))
         side, usable, salt = radius / LOOKUP_SPLIT, _usable(x, y), row_salt(points)
@@ -133,17 +137,17 @@ def nearest_within(
             *points.columns, *carry.values(), distance_column
         )
 
-    found = _descend(points.filter(_usable(x, y)), unique, radius, x, y, order, limit, crowd)
+    found = _descend(points.filter(_usable(x, y)), _unique(placed, order), radius, x, y, order, limit, crowd)
     usable, salt = _usable(x, y), row_salt(points)
     keys = {a: spread_coordinate(F.col(c), usable, salt) for a, c in (("_x", x), ("_y", y))}
     joined = points.withColumns(keys).join(found, ["_x", "_y"], "left")
     return joined.withColumns(outputs(F.col("_best"))).select(*points.columns, *carry.values(), distance_column)
 
 
-def _blocks(unique: DataFrame, radius: float) -> DataFrame:
+def _blocks(placed: DataFrame, radius: float) -> DataFrame:
     """Lookup cell -> the labels that can be the nearest one within the radius for some spot of the cell."""
     side = radius / LOOKUP_SPLIT
-    cells = unique.withColumn("_cx", _around(_cell(F.col("px"), side), LOOKUP_SPLIT)).withColumn(
+    cells = placed.withColumn("_cx", _around(_cell(F.col("px"), side), LOOKUP_SPLIT)).withColumn(
         "_cy", _around(_cell(F.col("py"), side), LOOKUP_SPLIT)
     )
     blocks = cells.groupBy("_cx", "_cy").agg(F.collect_list(F.struct("px", "py", "label")).alias("_block"))
