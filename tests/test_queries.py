@@ -5,6 +5,7 @@ import pytest
 from check_oracle import rows_of
 
 import __spark_entry__ as entry
+from checks.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -19,10 +20,10 @@ def sql():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sql, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    cur = sql.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    cur = sql.execute(ORACLES[name])
     columns = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cur.fetchall())
@@ -33,4 +34,8 @@ def test_flagship_runs(spark):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"text_normalize_documents"}
+    assert set(QUERIES) - set(ORACLES) == {"text_normalize_documents"}
+
+
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
