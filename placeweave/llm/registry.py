@@ -1,0 +1,16 @@
+"""Queries of this package, and the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
