@@ -16,6 +16,8 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from placeweave.llm.store import Shared
+
 # Pre-tokens whose ids a task remembers between blocks, and the characters of a block. They set speed and memory only.
 CACHE_ENTRIES = 300_000
 BLOCK_CHARS = 2_000_000
@@ -178,7 +180,7 @@ def load(path: str, pattern: str) -> Codec:
 
 def encoder(spark: SparkSession, codec: Codec):
     """``text -> array<int>`` for a text column; null counts as empty. The broadcast is the vocabulary file's size."""
-    shared = spark.sparkContext.broadcast(codec)
+    shared = Shared(spark, codec)
 
     @F.arrow_udf("array<int>")
     def encode(texts):
@@ -197,7 +199,7 @@ def encoder(spark: SparkSession, codec: Codec):
 
 def decoder(spark: SparkSession, codec: Codec):
     """``array<int> -> binary``; null ids give null, an id outside the vocabulary stops the job."""
-    shared = spark.sparkContext.broadcast(codec.tokens)
+    shared = Shared(spark, codec.tokens)
 
     @F.arrow_udf("binary")
     def decode(column):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from placeweave.llm import bpe, chat, secrets
+from placeweave.llm import bpe, chat, leaks, quality, secrets, shards
 from placeweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from placeweave.llm.store import table
 
@@ -133,3 +133,57 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+SHARD_BYTES = 1 << 20
+
+
+@query(
+    """
+WITH doc AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
+    CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) AS h
+  FROM documents),
+level AS (SELECT doc_id, n_bytes, depth, h >> (60 - depth) AS p FROM doc, range(0, 41) AS r(depth)),
+sums AS (SELECT depth, p, sum(n_bytes) AS b, count(*) AS n FROM level GROUP BY depth, p),
+leaf AS (
+  SELECT doc_id, n_bytes, depth, p, b, n, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS k
+  FROM level JOIN sums USING (depth, p) WHERE b <= 1048576 OR n = 1)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(depth AS INT) AS depth, CAST(b AS BIGINT) AS shard_bytes,
+  CASE WHEN depth = 0 THEN '*' ELSE lpad(bin(p), CAST(depth AS INT), '0') END AS shard,
+  n AS shard_rows, b > 1048576 AS oversized
+FROM leaf WHERE k = 1
+"""
+)
+def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document: split by bits of the key's hash until each holds at most a mebibyte of text."""
+    return shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", SHARD_BYTES)
+
+
+QUALITY_LEAST = 0.3
+
+
+@query()
+def op7_latent_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by votes of its nearest labelled neighbours."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_texts(docs, model)
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"),
+    )
+
+
+def leak_index(spark: SparkSession, sf_dir: str):
+    question, answer = leaks.question_and_answer()
+    return leaks.build(table(spark, sf_dir, "benchmark"), "item_id", question, answer)
+
+
+@query()
+def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair where the document holds the item."""
+    numbers, blocks = leak_index(spark, sf_dir)
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), numbers, blocks)

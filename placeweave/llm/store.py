@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from placeweave.session import scratch_path
@@ -24,3 +27,19 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def text_of(col: str | Column) -> Column:
     """A text column with null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+class Shared:
+    """A broadcast of any object of bounded size; classes travel with it, and a task opens it once."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.held, self.opened = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+
+    def __getstate__(self):
+        return {"held": self.held, "opened": []}
+
+    @property
+    def value(self):
+        if not self.opened:
+            self.opened.append(pickle.loads(self.held.value))
+        return self.opened[0]
