@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from placeweave.llm.store import Shared
 
 # Pre-tokens whose ids a task remembers between blocks, and the characters of a block. They set speed and memory only.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 BLOCK_CHARS = 2_000_000
 
 # Letters and digits of later Unicode versions than 16, which the rank files' own splitter does not know.
@@ -117,7 +117,7 @@ class Codec:
 
         letters = byte_letters()
         processor = sentencepiece.SentencePieceProcessor(model_proto=self.model)
-        whole = {token: rank for rank, token in enumerate(self.tokens)}
+        whole = {"".join(letters[b] for b in token): rank for rank, token in enumerate(self.tokens)}
         return splitter(self.pattern), processor, whole, {b: letters[b] for b in range(256)}
 
     def __hash__(self):
@@ -133,21 +133,17 @@ class Codec:
     def _learn(self, pieces: list[str]) -> dict[str, tuple]:
         """Ids of pre-tokens: a pre-token that is itself a token is that token, the rest are merged."""
         _, processor, whole, letters = self._tools()
-        found, open_ = {}, []
-        for piece in pieces:
-            data = piece.encode("utf-8", "replace")
-            rank = whole.get(data)
-            if rank is None:
-                open_.append((piece, data.decode("latin-1").translate(letters)))
-            else:
-                found[piece] = (rank,)
-        merged = processor.encode([text for _, text in open_], out_type=int, num_threads=1) if open_ else []
-        for (piece, _), ids in zip(open_, merged, strict=True):
-            found[piece] = tuple(ids)
-        return found
-
-    def encode_many(self, texts: Iterable[str]) -> Iterator[list[int]]:
-        """Ids of each text. Texts go through in blocks, so new pre-tokens reach the processor many at a time."""
+        # All pieces are mapped in one go, parted by a zero byte, unless one of them holds such a byte.
+        mapped = "\0".join(pieces).encode("utf-8", "replace").decode("latin-1").translate({**letters, 0: "\n"}).split("\n")
+        if len(mapped) != len(pieces):
+            mapped = [p.encode("utf-8", "replace").decode("latin-1").translate(letters) for p in pieces]
+        ranks = list(map(whole.get, mapped))
+        open_ = [m for m, rank in zip(mapped, ranks, strict=True) if rank is None]
+        merged = iter(processor.encode(open_, out_type=int, num_threads=1) if open_ else ())
+        return {p: tuple(next(merged)) if rank is None else (rank,) for p, rank in zip(pieces, ranks, strict=True)}
+
+    def encode_many(self, texts: Iterable[str]) -> Iterator:
+        """Ids of each text as an array. Texts go through in blocks, so new pre-tokens reach the processor many at a time."""
         split, block, size = self._tools()[0], [], 0
         for text in texts:
             block.append(split(text))
@@ -157,17 +153,19 @@ class Codec:
                 block, size = [], 0
         yield from self._encode_block(block)
 
-    def _encode_block(self, block: list[list[str]]) -> Iterator[list[int]]:
+    def _encode_block(self, block: list[list[str]]) -> Iterator:
+        import numpy as np
+
         wanted = set().union(*block)
         if len(self.known) + len(wanted) > CACHE_ENTRIES:
             self.known = {p: self.known[p] for p in wanted if p in self.known}
         self.known.update(self._learn([p for p in wanted if p not in self.known]))
         look_up = self.known.__getitem__
         for pieces in block:
-            yield list(chain.from_iterable(map(look_up, pieces)))
+            yield np.fromiter(chain.from_iterable(map(look_up, pieces)), np.int32)
 
     def encode(self, text: str) -> list[int]:
-        return next(self.encode_many([text]))
+        return next(self.encode_many([text])).tolist()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -189,7 +187,7 @@ def encoder(spark: SparkSession, codec: Codec):
 
         codec, rows, ends = shared.value, [], [0]
         for ids in codec.encode_many(text.as_py() or "" for text in texts):
-            rows.append(np.array(ids, np.int32))
+            rows.append(ids)
             ends.append(ends[-1] + len(ids))
         values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
@@ -206,11 +204,11 @@ def decoder(spark: SparkSession, codec: Codec):
         import pyarrow as pa
 
         look_up, out = shared.value.__getitem__, []
-        for row in column:
-            ids = row.values.to_numpy(zero_copy_only=True).tolist() if row.is_valid else None
-            if ids and min(ids) < 0:
-                raise ValueError("ids must not be negative")
-            out.append(None if ids is None else b"".join(map(look_up, ids)))
+        values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+        if len(values) and values.min() < 0:
+            raise ValueError("ids must not be negative")
+        for start, end, valid in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False):
+            out.append(b"".join(map(look_up, values[start:end].tolist())) if valid else None)
         return pa.array(out, pa.binary())
 
     return decode
