@@ -8,6 +8,7 @@ first and each pre-token is encoded alone; decoding looks the bytes of each id u
 from __future__ import annotations
 
 import base64
+import re
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -18,9 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from placeweave.llm.store import Shared
 
-# Pre-tokens whose ids a task remembers between blocks, and the characters of a block. They set speed and memory only.
+# Pre-tokens whose ids a task remembers between blocks, the bytes of a block, and words hashed at once.
+# They set speed and memory only.
 CACHE_ENTRIES = 500_000
-BLOCK_CHARS = 2_000_000
+BLOCK_BYTES = 2_000_000
+WORDS_AT_ONCE = 50_000
 
 # Letters and digits of later Unicode versions than 16, which the rank files' own splitter does not know.
 LATER_THAN_UNICODE_16 = """
@@ -143,26 +146,50 @@ class Codec:
         return {p: tuple(next(merged)) if rank is None else (rank,) for p, rank in zip(pieces, ranks, strict=True)}
 
     def encode_many(self, texts: Iterable[str]) -> Iterator:
-        """Ids of each text as an array. Texts go through in blocks, so new pre-tokens reach the processor many at a time."""
-        split, block, size = self._tools()[0], [], 0
+        """Ids of each text as an array. Texts go through in blocks, so new words reach the processor many at a time."""
+        block, size = [], 0
         for text in texts:
-            block.append(split(text))
-            size += len(text)
-            if size >= BLOCK_CHARS:
+            block.append(text.encode("utf-8", "replace"))
+            size += len(block[-1])
+            if size >= BLOCK_BYTES:
                 yield from self._encode_block(block)
                 block, size = [], 0
-        yield from self._encode_block(block)
+        if block:
+            yield from self._encode_block(block)
 
-    def _encode_block(self, block: list[list[str]]) -> Iterator:
+    def _encode_block(self, block: list[bytes]) -> Iterator:
+        """Words are told apart by length and a 64-bit hash; only those not seen before are split and merged."""
         import numpy as np
 
-        wanted = set().union(*block)
-        if len(self.known) + len(wanted) > CACHE_ENTRIES:
-            self.known = {p: self.known[p] for p in wanted if p in self.known}
-        self.known.update(self._learn([p for p in wanted if p not in self.known]))
-        look_up = self.known.__getitem__
-        for pieces in block:
-            yield np.fromiter(chain.from_iterable(map(look_up, pieces)), np.int32)
+        data = np.frombuffer(b"".join(block), np.uint8)
+        ends = np.cumsum([len(text) for text in block])
+        starts = word_starts(data, ends)
+        stops = np.append(starts[1:], len(data))
+        names, first, back = np.unique(word_names(data, starts, stops), return_index=True, return_inverse=True)
+        ids = self._remember(names.tolist(), zip(starts[first].tolist(), stops[first].tolist(), strict=True), data.data)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
+        begins = np.cumsum(sizes) - sizes
+        each = sizes[back]
+        after = np.cumsum(each)
+        out = flat[np.repeat(begins[back] - after + each, each) + np.arange(after[-1] if len(after) else 0)]
+        bounds = np.append(0, after)[np.searchsorted(starts, np.append(0, ends))]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield out[a:b]
+
+    def _remember(self, names: list[int], places: Iterable[tuple[int, int]], data: memoryview) -> list[tuple]:
+        if len(self.known) + len(names) > CACHE_ENTRIES:
+            self.known = {name: self.known[name] for name in names if name in self.known}
+        known = self.known
+        new = {name: str(data[a:b], "utf-8") for name, (a, b) in zip(names, places, strict=True) if name not in known}
+        # A line feed before a space is a pre-token of its own: words that are one pre-run after a space split together.
+        split, spaced = self._tools()[0], {n: w for n, w in new.items() if w[0] == " " and len(w) > 1 and not _BLANK.search(w, 1)}
+        parts = dict(zip(spaced, _groups(split("\n" + "\n".join(spaced.values())))[1:], strict=True)) if spaced else {}
+        parts |= {name: split(word) for name, word in new.items() if name not in spaced}
+        ids = self._learn(list(set(chain.from_iterable(parts.values()))))
+        for name, pieces in parts.items():
+            known[name] = ids[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, pieces)))
+        return list(map(known.__getitem__, names))
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_many([text])).tolist()
@@ -171,6 +198,83 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+_BLANK = re.compile(r"\s")
+
+
+def _groups(pieces: list[str]) -> list[list[str]]:
+    """Pieces between line feeds."""
+    out: list[list[str]] = [[]]
+    for piece in pieces:
+        if piece == "\n":
+            out.append([])
+        else:
+            out[-1].append(piece)
+    return out
+
+
+def word_starts(data, ends):
+    """Where words of joined texts start: places where every pattern of this family starts a pre-token.
+
+    That is before a space between two characters that are no white space, and before an ASCII mark after an ASCII letter
+    or digit: pre-tokens hold white space at their front only, and marks never follow letters in one. Bytes that may belong
+    to other white space start nothing, which only makes words longer. Texts start at their own first byte.
+    """
+    import numpy as np
+
+    kind = np.zeros(256, np.uint8)
+    kind[[*range(0x09, 0x0E), 0x20]] = 1
+    kind[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 2
+    kind[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 3
+    kind[[0xC2, 0xE1, 0xE2, 0xE3]] = 4  # first bytes of other white space
+    kind[[0x80, 0x81, 0x9A]] = 5  # and second ones
+    k = kind[data]
+    n = len(data)
+    start = np.zeros(n + 1, bool)
+    if n > 2:
+        before, here, after = k[:-2], k[1:-1], k[2:]
+        doubtful = np.zeros(n - 2, bool)
+        doubtful[1:] = (data[1:-2] >= 0x80) & ((k[:-3] == 4) | (k[:-3] == 5))
+        start[1 : n - 1] = (data[1:-1] == 0x20) & (before != 1) & ~doubtful & (after != 1) & (after != 4)
+        start[1 : n - 1] |= (here == 3) & (before == 2)
+    start[0] = True
+    start[ends] = True
+    return np.flatnonzero(start[:n])
+
+
+def word_names(data, starts, stops):
+    """A 64-bit hash of each word, its length mixed in: sums of random numbers by byte, weighted by powers of an odd base."""
+    import numpy as np
+
+    random, powers, inverse = _hash_tables()
+    out, step = np.empty(len(starts), np.uint64), len(powers) - 1
+    for low in range(0, len(starts), WORDS_AT_ONCE):
+        a, b = starts[low : low + WORDS_AT_ONCE], stops[low : low + WORDS_AT_ONCE]
+        if b[-1] - a[0] > step:
+            from hashlib import blake2b
+
+            out[low : low + len(a)] = [int.from_bytes(blake2b(data[x:y].tobytes(), digest_size=8).digest(), "little") for x, y in zip(a, b, strict=True)]
+            continue
+        part = data[a[0] : b[-1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(random[part] * powers[: len(part)], out=sums[1:])
+        x = (sums[b - a[0]] - sums[a - a[0]]) * inverse[a - a[0]] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        out[low : low + len(a)] = x ^ (x >> np.uint64(29))
+    return out
+
+
+@lru_cache(maxsize=1)
+def _hash_tables():
+    import numpy as np
+
+    size = 1 << 20
+    random = np.random.default_rng(50257).integers(0, 2**64, 256, np.uint64)
+    base = 0x9E3779B97F4A7C15
+    powers, inverse = np.full(size + 1, base, np.uint64), np.full(size + 1, pow(base, -1, 2**64), np.uint64)
+    powers[0] = inverse[0] = 1
+    return random, np.multiply.accumulate(powers), np.multiply.accumulate(inverse)
+
+
 def load(path: str, pattern: str) -> Codec:
     tokens = read_ranks(path)
     return Codec(tokens, serialise(tokens), pattern)
