@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from placeweave.llm import bpe, chat, leaks, quality, secrets, shards
+from placeweave.llm import bpe, chat, jaccard, leaks, pages, quality, repeats, secrets, shards
 from placeweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from placeweave.llm.store import table
 
@@ -187,3 +187,23 @@ def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair where the document holds the item."""
     numbers, blocks = leak_index(spark, sf_dir)
     return leaks.find_leaks(table(spark, sf_dir, "documents"), numbers, blocks)
+
+
+@query()
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier document, or an earlier place of it, already has."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and the component of its near copies."""
+    found = jaccard.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query()
+def op6_boosted_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = pages.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"), pages.fit(spark))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
