@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from placeweave.llm import bpe, chat, jaccard, leaks, pages, quality, repeats, secrets, shards
+from placeweave.llm import bpe, chat, covertree, jaccard, leaks, ledger, pages, quality, repeats, shards
 from placeweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from placeweave.llm.store import table
 
@@ -63,7 +63,7 @@ FROM doc LEFT JOIN said USING (row_id)
 
 
 def _secret_sql() -> str:
-    rules = [(nr, r.pattern.replace("'", "''"), r.group) for nr, r in enumerate(secrets.RULES)]
+    rules = [(nr, r.pattern.replace("'", "''"), r.group) for nr, r in enumerate(ledger.RULES)]
     return (
         OP3_SQL.replace("{splits}", " ".join(f"WHEN {nr} THEN '{p}'" for nr, p, _ in rules))
         .replace("{hits}", " ".join(f"WHEN {nr} THEN regexp_extract_all(text, '{p}', 0)" for nr, p, _ in rules))
@@ -75,17 +75,17 @@ def _secret_sql() -> str:
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, each version of a document being a blob of a ledger that starts empty."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, secrets.Ledger(spark))
-    base = F.filter("found", lambda s: s["nr"] < len(secrets.BASE))
+    found = ledger.scan(docs, ledger.Ledger(spark))
+    base = F.filter("found", lambda s: s["nr"] < len(ledger.BASE))
 
-    def count(rule: secrets.Rule):
+    def count(rule: ledger.Rule):
         return F.size(F.filter("found", lambda s: s["kind"] == rule.kind)).cast("long").alias(f"n_{rule.kind}")
 
     return found.select(
         "doc_id",
-        *map(count, secrets.BASE),
-        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
-        secrets.spans_text(F.col("found")).alias("spans"),
+        *map(count, ledger.BASE),
+        F.sha2(ledger.spans_text(base), 256).alias("base_sha256"),
+        ledger.spans_text(F.col("found")).alias("spans"),
     )
 
 
@@ -207,3 +207,9 @@ def op6_boosted_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     found = pages.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"), pages.fit(spark))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op8_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near copies among the vectors of a label."""
+    return covertree.near_copies(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
