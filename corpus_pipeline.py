@@ -38,12 +38,13 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, with every secret replaced by a mark; ``n_chars`` follows the text where it changed."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"].alias("text"))
     found = ledger.scan(rows, ledger.Ledger(spark))
-    text = ledger.redact(text_of("text"), F.col("found"))
-    new = {"text": F.when(F.size("found") == 0, F.col("text")).otherwise(text)}
+    marked = F.when(F.size("found") > 0, ledger.redact(text_of("text"), F.col("found")))
+    done = found.select("doc", marked.alias("marked"))
+    new = {"text": F.coalesce("marked", "doc.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(F.size("found") == 0, F.col("doc.n_chars")).otherwise(F.length(text).cast(kind))
-    return found.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+        new["n_chars"] = F.coalesce(F.length("marked").cast(kind), "doc.n_chars")
+    return done.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,6 @@ def shard(df: DataFrame, key: str, limit: int, nbytes: Column | None = None, tex
 
 
 def write_shards(df: DataFrame, placed: DataFrame, key: str, path: str) -> None:
-    """One folder a shard with the rows of ``df``; ``key`` must name its rows uniquely."""
+    """One folder a shard with the rows of ``df``, whose own ``shard`` column goes; ``key`` must name its rows uniquely."""
     shards = store(placed.select(key, "shard"), "placed")
-    df.join(shards, key).repartition("shard").write.partitionBy("shard").parquet(path)
+    df.drop("shard").join(shards, key).repartition("shard").write.partitionBy("shard").parquet(path)

@@ -347,7 +347,7 @@ def test_shards_fit_and_split_only_when_they_must(spark, tmp_path):
         parent = name[:-1]
         assert sum(s for n, s in size.items() if n.startswith(parent)) > 1500
     plain = df.filter("doc_id between 100 and 199")
-    shards.write_shards(plain, shards.shard(plain, "doc_id", 1500).withColumnRenamed("shard", "shard"), "doc_id", str(tmp_path / "out"))
+    shards.write_shards(plain, shards.shard(plain, "doc_id", 1500), "doc_id", str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 100
     assert shards.shard(df.limit(0), "doc_id", 10).count() == 0
     assert {x["shard"] for x in shards.shard(plain, "doc_id", 10**9).collect()} == {"*"}
