@@ -2,7 +2,7 @@
 
 Items are the indexed side. Term weights are BM25 scores divided by the item's score for itself, so one threshold fits
 items of any length. Every text is cut into passages of twice the longest item, starting an item's length apart, so an
-item lies whole inside some passage. A passage is searched only if its rare terms could lift some item to the threshold;
+item lies whole inside some passage. A passage is searched only if its rarer terms alone lift some item to what the frequent ones cannot give;
 whatever is retrieved is then verified by the share of the question's five-word shingles and of the answer's words.
 
 Statistics cover all items; they are made by Spark and read in blocks of ``Settings.block_items`` items, each block's
@@ -13,13 +13,17 @@ texts have no passages; repeated items are found one by one and repeated texts a
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from placeweave.llm.store import Shared, store, text_of
 
 WORD = re.compile(r"\w+")
+# Characters of text searched together; sets speed and memory only.
+PORTION = 1_000_000
 HIT = "array<struct<nr: bigint, score: double, question: double, answer: double>>"
 
 
@@ -27,6 +31,8 @@ HIT = "array<struct<nr: bigint, score: double, question: double, answer: double>
 class Settings:
     threshold: float = 0.5
     overlap: float = 0.8
+    #: The share of the threshold that frequent terms may give before they count as rarer ones; sets speed only.
+    common: float = 0.5
     shingle: int = 5
     k1: float = 1.2
     b: float = 0.75
@@ -54,61 +60,75 @@ class Index:
     answers: list[list[str]]
     postings: dict[str, tuple[list[int], list[float]]]
     span: int = 0
-    rare: dict[str, float] = field(default_factory=dict)
-    needed: float = 0.0
+    rare: dict[str, int] = field(default_factory=dict)
+    flat: tuple = ()
+    needed: object = None
     maxima: dict[str, list[float]] = field(default_factory=dict)
 
     def __post_init__(self):
+        import numpy as np
+
         step = self.settings.posting_block
         self.maxima = {t: [max(w[i : i + step]) for i in range(0, len(w), step)] for t, (_, w) in self.postings.items()}
         self.span = max([1, *(len(q) + len(a) for q, a in zip(self.questions, self.answers, strict=True))])
-        # The most frequent terms, as long as together they lift no item to half the threshold, need not be looked at first.
-        lifted, half, common = [0.0] * len(self.numbers), self.settings.threshold / 2, set()
+        # The most frequent terms, as long as together they lift no item far, need not be looked at first.
+        lifted, most, common = [0.0] * len(self.numbers), self.settings.threshold * self.settings.common, set()
         for term, (items, weights) in sorted(self.postings.items(), key=lambda x: (-len(x[1][0]), x[0])):
-            if len(items) < 2 or any(lifted[i] + w > half for i, w in zip(items, weights, strict=True)):
+            if len(items) < 2 or any(lifted[i] + w > most for i, w in zip(items, weights, strict=True)):
                 continue
             common.add(term)
             for i, w in zip(items, weights, strict=True):
                 lifted[i] += w
-        self.needed = self.settings.threshold - max([0.0, *lifted]) - 1e-9
-        self.rare = {t: max(m) for t, m in self.maxima.items() if t not in common}
+        self.needed = self.settings.threshold - np.array(lifted) - 1e-9
+        rare = [t for t in self.postings if t not in common]
+        self.rare = {t: k for k, t in enumerate(rare)}
+        sizes = np.array([len(self.postings[t][0]) for t in rare], np.int64)
+        items = np.array([i for t in rare for i in self.postings[t][0]], np.int64)
+        weights = np.array([w for t in rare for w in self.postings[t][1]], float)
+        self.flat = items, weights, np.cumsum(sizes) - sizes, sizes
 
     def retrieve(self, terms: set[str]) -> list[tuple[int, float]]:
         """Items that ``terms`` score to the threshold or above: block-max WAND."""
-        step, least = self.settings.posting_block, self.settings.threshold - 1e-9
-        lists = [(self.postings[t][0], self.postings[t][1], self.maxima[t], max(self.maxima[t])) for t in terms if t in self.postings]
-        at, out = [0] * len(lists), []
+        step, least, end = self.settings.posting_block, self.settings.threshold - 1e-9, len(self.numbers)
+        used = [t for t in terms if t in self.postings]
+        items, weights = [self.postings[t][0] for t in used], [self.postings[t][1] for t in used]
+        maxima = [self.maxima[t] for t in used]
+        tops, at, head = [max(m) for m in maxima], [0] * len(used), [i[0] for i in items]
+        order, out = list(range(len(used))), []
+
+        def advance(k: int, target: int) -> None:
+            at[k] = bisect_left(items[k], target, at[k])
+            head[k] = items[k][at[k]] if at[k] < len(items[k]) else end
+
         while True:
-            order = sorted((i for i in range(len(lists)) if at[i] < len(lists[i][0])), key=lambda i: lists[i][0][at[i]])
-            bound, pivot = 0.0, None
-            for k, i in enumerate(order):
-                bound += lists[i][3]
-                if bound >= least:
-                    pivot = lists[i][0][at[i]]
-                    while k + 1 < len(order) and lists[order[k + 1]][0][at[order[k + 1]]] == pivot:
-                        k += 1
-                    front = order[: k + 1]
-                    break
-            if pivot is None:
+            order.sort(key=head.__getitem__)
+            while order and head[order[-1]] == end:
+                order.pop()
+            bound, size = 0.0, 0
+            while size < len(order) and bound < least:
+                bound += tops[order[size]]
+                size += 1
+            if bound < least:
                 return out
-            for i in front:
-                at[i] = _advance(lists[i][0], at[i], pivot)
-            front = [i for i in front if at[i] < len(lists[i][0])]
-            block = sum(lists[i][2][at[i] // step] for i in front)
-            if block < least:
-                # No item before the end of the nearest block, or before the next list's item, can reach the threshold.
-                ends = [lists[i][0][min(len(lists[i][0]), (at[i] // step + 1) * step) - 1] + 1 for i in front]
-                others = [lists[i][0][at[i]] for i in order[k + 1 :]]
-                target = max(pivot + 1, min(ends + others)) if front else pivot + 1
-                for i in front:
-                    at[i] = _advance(lists[i][0], at[i], target)
-                continue
-            score = sum(lists[i][1][at[i]] for i in front if lists[i][0][at[i]] == pivot)
-            if score >= least:
-                out.append((pivot, score))
-            for i in front:
-                if lists[i][0][at[i]] == pivot:
-                    at[i] += 1
+            pivot = head[order[size - 1]]
+            while size < len(order) and head[order[size]] == pivot:
+                size += 1
+            for k in order[:size]:
+                if head[k] < pivot:
+                    advance(k, pivot)
+            front = [k for k in order[:size] if head[k] < end]
+            if sum(maxima[k][at[k] // step] for k in front) < least:
+                # No item before the nearest end of a block, or before the next list's item, can reach the threshold.
+                stops = [items[k][min(len(items[k]), (at[k] // step + 1) * step) - 1] + 1 for k in front]
+                target = max(pivot + 1, min([*stops, *(head[k] for k in order[size : size + 1])], default=end))
+            else:
+                score = sum(weights[k][at[k]] for k in front if head[k] == pivot)
+                if score >= least:
+                    out.append((pivot, score))
+                target = pivot + 1
+            for k in front:
+                if head[k] < target:
+                    advance(k, target)
 
     def verify(self, item: int, passage: list[str]) -> tuple[float, float]:
         n, here = self.settings.shingle, set(passage)
@@ -117,30 +137,57 @@ class Index:
         found = len(asked & shingles(passage, size)) / len(asked) if asked else 1.0
         return found, sum(w in here for w in told) / len(told) if told else 1.0
 
-    def search(self, text: str | None) -> dict[int, tuple[float, float, float]]:
-        """Verified items of a whole text with their best passage's figures."""
+    def candidates(self, blocks, places):
+        """Windows of two neighbouring blocks whose rare terms lift some item far enough, given each token's block and rare term."""
         import numpy as np
 
-        tokens, best = words(text), {}
-        rare = np.fromiter(map(self.rare.get, tokens, [0.0] * len(tokens)), float, len(tokens)) if tokens else np.zeros(0)
-        if rare.sum() < self.needed:
-            return best
-        starts = np.arange(0, len(tokens), self.span)
-        sums = np.concatenate([[0.0], np.cumsum(rare)])
-        lifts = sums[np.minimum(starts + 2 * self.span, len(tokens))] - sums[starts]
-        for start in starts[lifts >= self.needed - 1e-6]:
-            passage = tokens[start : start + 2 * self.span]
+        items, weights, begins, sizes = self.flat
+        known = places >= 0
+        once = np.unique(blocks[known] * len(begins) + places[known])
+        blocks, places = once // max(1, len(begins)), once % max(1, len(begins))
+        each = sizes[places]
+        after = np.cumsum(each)
+        at = np.repeat(begins[places] - after + each, each) + np.arange(after[-1] if len(after) else 0)
+        width = len(self.numbers)
+        keys = np.repeat(blocks, each) * width + items[at]
+        names, back = np.unique(np.concatenate([keys, keys - width]), return_inverse=True)
+        lifts = np.bincount(back, np.concatenate([weights[at], weights[at]]), len(names))
+        return np.unique(names[lifts >= self.needed[names % width]] // width)
+
+    def search_many(self, texts) -> list[dict[int, tuple[float, float, float]]]:
+        """Verified items of each whole text with their best passage's figures. Texts go through some at a time."""
+        import numpy as np
+
+        tokens = [words(text) for text in texts]
+        out: list[dict] = [{} for _ in tokens]
+        # Blocks are numbered over all texts, with an empty one before each text, so no window joins two texts.
+        counts = np.array([-(-len(t) // self.span) + 1 for t in tokens], np.int64)
+        first = np.cumsum(counts) - counts + 1
+        places = np.fromiter(chain.from_iterable(map(self.rare.get, t, repeat(-1)) for t in tokens), np.int64)
+        blocks = np.concatenate([f + np.arange(len(t)) // self.span for f, t in zip(first, tokens, strict=True)] or [np.zeros(0, np.int64)])
+        for window in self.candidates(blocks.astype(np.int64), places).tolist():
+            text = int(np.searchsorted(first, window, "right")) - 1
+            if text < 0 or window - first[text] >= counts[text] - 1:
+                continue
+            start, best = (window - int(first[text])) * self.span, out[text]
+            passage = tokens[text][start : start + 2 * self.span]
             for item, score in self.retrieve(set(passage)):
                 question, answer = self.verify(item, passage)
                 if min(question, answer) >= self.settings.overlap:
                     best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score, question, answer))
-        return best
-
+        return out
 
-def _advance(items: list[int], at: int, target: int) -> int:
-    from bisect import bisect_left
 
-    return bisect_left(items, target, at)
+def _portions(texts):
+    """Lists of texts of about a million characters."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text.as_py() or "")
+        size += len(part[-1])
+        if size >= PORTION:
+            yield part
+            part, size = [], 0
+    yield part
 
 
 def numbered(items: DataFrame, item_id: str, question: Column, answer: Column) -> DataFrame:
@@ -214,8 +261,7 @@ def searcher(df: DataFrame, index: Index):
         import pyarrow as pa
 
         index, out = shared.value, []
-        for text in texts:
-            hits = index.search(text.as_py())
+        for hits in chain.from_iterable(map(index.search_many, _portions(texts))):
             out.append([dict(nr=index.numbers[i], score=s, question=q, answer=a) for i, (s, q, a) in sorted(hits.items())])
         kind = pa.struct([("nr", pa.int64()), *((n, pa.float64()) for n in ("score", "question", "answer"))])
         return pa.array(out, pa.list_(kind))
