@@ -34,6 +34,8 @@ class Settings:
     percent: int = 90
     words: int = 3
     sketch_bits: int = 18
+    #: Bits of a set's signature; they set how many unlike pairs are turned away before sets are read, never which link.
+    signature_bits: int = 2048
 
 
 @lru_cache(maxsize=1)
@@ -178,8 +180,12 @@ def shingle_counts(docs: DataFrame, settings: Settings, text: str = "text"):
 
 
 def prefixes(docs: DataFrame, counts, settings: Settings, doc_id: str, text: str) -> DataFrame:
-    """(id, v, n, prefix): a hash and the size of a text's set, and its rarest shingles, which a like set must share."""
+    """(id, v, n, prefix, sig): a text's set as a hash, its size, its rarest shingles, which a like set must share, and a signature.
+
+    A signature's bits are parities: sets differ in at least as many shingles as their signatures differ in bits.
+    """
     shared, bits, n, percent = Shared(docs.sparkSession, counts), settings.sketch_bits, settings.words, settings.percent
+    width = settings.signature_bits
 
     def rows(batches):
         import numpy as np
@@ -188,7 +194,7 @@ def prefixes(docs: DataFrame, counts, settings: Settings, doc_id: str, text: str
         counts = shared.value
         for batch in batches:
             for at, texts in _texts(batch):
-                sizes, names, firsts = [], [], []
+                sizes, names, firsts, marks = [], [], [], []
                 for every in shingle_sets(texts, n):
                     size = len(every)
                     order = np.lexsort((every, counts[(every >> np.uint64(64 - bits)).astype(np.int64)]))
@@ -196,14 +202,18 @@ def prefixes(docs: DataFrame, counts, settings: Settings, doc_id: str, text: str
                     sizes.append(size)
                     names.append(set_name(every))
                     firsts.append(every[order[:keep]].view(np.int64))
+                    parity = np.bincount((every % np.uint64(width)).astype(np.int64), minlength=width) & 1
+                    marks.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
                 ends = np.cumsum([0, *map(len, firsts)])
                 flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts)))
+                ends = np.arange(len(marks) + 1) * (width // 64)
+                sig = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(marks)))
                 ids = batch.column("id").slice(at, len(texts))
-                arrays = [ids, pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), flat]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "v", "n", "prefix"])
+                arrays = [ids, pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), flat, sig]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "v", "n", "prefix", "sig"])
 
     rows_in = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(text).alias("text"))
-    return rows_in.mapInArrow(rows, "id long, v long, n long, prefix array<long>")
+    return rows_in.mapInArrow(rows, "id long, v long, n long, prefix array<long>, sig array<long>")
 
 
 def set_name(every) -> int:
@@ -245,9 +255,19 @@ class Sets:
             made = made.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("set").alias("set"))
         return store(made, "sets")
 
+    def _plausible(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures leave room for the threshold."""
+        p, (left, right) = self.settings.percent, (
+            self.reps.select(F.col("v").alias(v), F.col("n").alias(f"n_{v}"), F.col("sig").alias(f"sig_{v}")) for v in ("a", "b")
+        )
+        apart = F.zip_with("sig_a", "sig_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        apart = F.aggregate(apart, F.lit(0), lambda s, x: s + x)
+        both = pairs.join(left, "a").join(right, "b")
+        return both.filter((100 + p) * apart <= (100 - p) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets reach the threshold."""
-        pairs = store(pairs.select("a", "b").distinct(), "pairs")
+        pairs = store(self._plausible(store(pairs.select("a", "b").distinct(), "met")), "pairs")
         if pairs.isEmpty():
             return pairs
         sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("v")))
@@ -326,7 +346,7 @@ def near_components(
     counts = shingle_counts(docs, settings, text)
     every = store(prefixes(docs, counts, settings, doc_id, text), "prefixes")
     usable = every.filter("n > 0 and id is not null")
-    reps = usable.groupBy("v").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    reps = usable.groupBy("v").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
     reps = store(reps.withColumn("key", F.xxhash64("prefix")), "reps")
     groups = store(reps.groupBy("n", "key").agg(F.min("v").alias("g"), F.count("*").alias("size")), "groups")
     members = store(reps.select("v", "n", "key").join(groups, ["n", "key"]).select("v", "g", "size"), "members")
