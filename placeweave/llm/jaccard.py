@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,6 +36,8 @@ class Settings:
     sketch_bits: int = 18
     #: Bits of a set's signature; they set how many unlike pairs are turned away before sets are read, never which link.
     signature_bits: int = 2048
+    #: Turns of comparing lists with hubs before all pairs that are left; they set speed only.
+    turns: int = 4
 
 
 @lru_cache(maxsize=1)
@@ -296,12 +298,16 @@ def _labelled(rows: DataFrame, label: DataFrame, key: str) -> DataFrame:
     return rows.join(names, key, "left").withColumn("label", F.coalesce("component", key)).drop("component")
 
 
-def _hub_pairs(entries: DataFrame, shift: float, settings: Settings) -> DataFrame:
-    """Each group of a list and size bucket against the list's least group, where their components differ."""
-    rows = entries.withColumn("bucket", _bucket("n", shift, settings))
+def _hub_pairs(entries: DataFrame, turn: int, settings: Settings) -> DataFrame:
+    """Each group of a list and size bucket against one of them, the hub, where their components differ.
+
+    Buckets shift by half from turn to turn, so that none parts alike sizes for good. The first two turns take the hub that
+    comes first in any list; later ones draw another for each list, which spreads what the earlier ones left apart.
+    """
+    rows = entries.withColumn("bucket", _bucket("n", 0.5 * (turn % 2), settings))
+    rows = rows.withColumn("draw", F.col("g") if turn < 2 else F.xxhash64("g", "shingle", F.lit(turn)))
     hubs = rows.groupBy("shingle", "bucket").agg(
-        F.min("g").alias("hub"),
-        *(F.min_by(c, "g").alias(f"hub_{c}") for c in ("n", "i", "label")),
+        *(F.min_by(c, "draw").alias(name) for c, name in (("g", "hub"), ("n", "hub_n"), ("i", "hub_i"), ("label", "hub_label"))),
         F.min("label").alias("lo"),
         F.max("label").alias("hi"),
     )
@@ -311,16 +317,34 @@ def _hub_pairs(entries: DataFrame, shift: float, settings: Settings) -> DataFram
     return both.select(F.col("g").alias("a"), F.col("hub").alias("b"))
 
 
-def _cross_pairs(entries: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
-    """Member pairs of all group pairs that may be alike and are not yet of one component."""
+FOLDS = 4
+
+
+def _folded(settings: Settings) -> list[Column]:
+    """A signature folded to ``FOLDS`` longs: still parities of shingles, so still a bound on how many differ."""
+    longs = settings.signature_bits // 64
+    parts = [[F.get("sig", F.lit(k)) for k in range(i, longs, FOLDS)] for i in range(FOLDS)]
+    return [reduce(lambda x, y: x.bitwiseXOR(y), part).alias(f"s{i}") for i, part in enumerate(parts)]
+
+
+def _cross_pairs(entries: DataFrame, members: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
+    """Member pairs of all group pairs that may be alike and are not yet of one component.
+
+    The bounds are part of the join's condition, folded signatures too: what cannot be alike is never a row.
+    """
     purity = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     rows = store(entries.drop("label").join(purity, "g"), "rows")
     live = rows.groupBy("shingle").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).filter("x <> y").select("shingle")
-    rows = store(rows.join(store(live, "live"), "shingle", "left_semi").withColumn("bucket", _bucket("n", 0.0, settings)), "open")
-    larger = rows.select("shingle", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket"), *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "i", "lo", "hi")))
+    rows = rows.join(store(live, "live"), "shingle", "left_semi").withColumn("bucket", _bucket("n", 0.0, settings))
+    rows = store(rows.join(reps.select(F.col("v").alias("g"), *_folded(settings)), "g"), "open")
+    marks = [f"s{i}" for i in range(FOLDS)]
+    both = F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket")
+    larger = rows.select("shingle", both, *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "i", "lo", "hi", *marks)))
     order = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("g") < F.col("g_b")))
     pure = (F.col("lo") == F.col("hi")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo") == F.col("lo_b"))
     near = _possible(F.col("n"), F.col("i"), F.col("n_b"), F.col("i_b"), settings)
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in marks])
+    near &= (100 + settings.percent) * apart <= (100 - settings.percent) * (F.col("n") + F.col("n_b"))
     met = rows.join(larger, ["shingle", "bucket"]).filter(order & ~pure & near).select("g", "g_b").distinct()
     a = members.select("g", F.col("v").alias("a"), F.col("label").alias("label_a"))
     b = members.select(F.col("g").alias("g_b"), F.col("v").alias("b"), F.col("label").alias("label_b"))
@@ -367,10 +391,10 @@ def near_components(
         return store(components(links), "label")
 
     label = joined(None, members.filter("size > 1 and v <> g").select(F.col("v").alias("a"), F.col("g").alias("b")))
-    for shift in (0.0, 0.5):
-        label = joined(label, _hub_pairs(_labelled(entries, label, "g"), shift, settings))
+    for turn in range(settings.turns):
+        label = joined(label, _hub_pairs(_labelled(entries, label, "g"), turn, settings))
     named = store(_labelled(members, label, "v"), "named")
-    label = joined(label, _cross_pairs(entries, named, settings).unionByName(_group_pairs(named)))
+    label = joined(label, _cross_pairs(entries, named, reps, settings).unionByName(_group_pairs(named)))
 
     # From sets back to rows: the least id of all rows whose sets are of one component.
     rows = store(_labelled(usable.select("id", "v"), label, "v"), "rows")
