@@ -27,12 +27,12 @@ def _quoted(expr: str) -> str:
     return f"""'"' || replace({expr}, '"', '\\"') || '"'"""
 
 
-_DOCUMENT = f"""'---' || chr(10) || 'category: ' || {_quoted('category')} || chr(10) || 'id: ' || {_quoted('slug')} || chr(10)
+_DOCUMENT = f"""'---' || chr(10) || coalesce('assigned_district: ' || {_quoted('assigned_district')} || chr(10), '')
+  || 'category: ' || {_quoted('category')} || chr(10) || coalesce('geometry_ref: ' || {_quoted('geometry_ref')} || chr(10), '')
+  || 'id: ' || {_quoted('slug')} || chr(10)
   || 'last_updated: ' || {_quoted('last_updated')} || chr(10) || 'lat: ' || coalesce(CAST(lat AS STRING), 'null') || chr(10)
   || 'lon: ' || coalesce(CAST(lon AS STRING), 'null') || chr(10) || 'names:' || chr(10) || '  en: ' || {_quoted('en')} || chr(10)
   || '  zh: ' || {_quoted('zh')} || chr(10) || 'source: ' || {_quoted('source')} || chr(10)
-  || coalesce('assigned_district: ' || {_quoted('assigned_district')} || chr(10), '')
-  || coalesce('geometry_ref: ' || {_quoted('geometry_ref')} || chr(10), '')
   || CASE WHEN tagged THEN 'tags:' || chr(10) || '- "nominatim"' || chr(10) ELSE '' END
   || '---' || chr(10) || chr(10) || '# body' || chr(10)"""
 
@@ -44,7 +44,7 @@ def render_entity_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT slug, slug AS id, en, zh, category, lat, lon, source, last_updated,
-   CASE WHEN tagged THEN 'nominatim' END AS tags, geometry_ref, assigned_district, chr(10) || '# body' || chr(10) AS body
+   CASE WHEN tagged THEN 'nominatim' END AS tags, geometry_ref, assigned_district, '# body' || chr(10) AS body
   FROM ({X.ENTITIES})"""
 )
 def scan_entity_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +156,18 @@ def pending_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.pending_requests(wanted, _request_keys(table(spark, sf_dir, "supplier"), "s_suppkey"))
 
 
+@query(
+    f"""SELECT DISTINCT {_REQUEST_KEY.format('p_partkey')} AS request_key, 'forced' AS part FROM part
+  UNION ALL SELECT {_REQUEST_KEY.format('p_partkey')}, 'cached' FROM part JOIN supplier ON p_partkey = s_suppkey"""
+)
+def cached_and_forced_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests when forced, and those whose results are stored."""
+    wanted = _request_keys(table(spark, sf_dir, "part"), "p_partkey")
+    stored = _request_keys(table(spark, sf_dir, "supplier"), "s_suppkey")
+    forced = N.pending_requests(wanted, stored, force=True).select("request_key", F.lit("forced").alias("part"))
+    return forced.unionByName(N.cached_requests(wanted, stored).select("request_key", F.lit("cached").alias("part")))
+
+
 @query(
     """SELECT DISTINCT 'details::' || CASE l_linenumber % 3 WHEN 0 THEN 'N' WHEN 1 THEN 'W' ELSE 'R' END || '::' || CAST(l_suppkey AS STRING)
    || '::cls=' || CASE WHEN l_linenumber % 2 = 0 THEN 'place' ELSE '' END || '::entr=' AS request_key FROM lineitem

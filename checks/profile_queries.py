@@ -54,12 +54,17 @@ def top_keys_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT 'file' || CAST(k % 4 AS STRING) AS path, count(*) AS features,
+    f"""SELECT 'file' || CAST(k % 4 AS STRING) AS path, CAST(1 AS BIGINT) AS files, count(*) AS features,
    3 + max(CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) AS keys FROM ({X.PREMISES}) GROUP BY 1
-  UNION ALL SELECT NULL, count(*), 3 + max(CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) FROM ({X.PREMISES})"""
+  UNION ALL SELECT 'empty' || CAST(n_nationkey AS STRING), 1, 0, 0 FROM nation
+  UNION ALL SELECT NULL, count(DISTINCT k % 4) + (SELECT count(*) FROM nation), count(*),
+   3 + max(CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) FROM ({X.PREMISES})"""
 )
 def feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.feature_counts(address_features(spark, sf_dir))
+    """Files with features, and one without for every nation."""
+    features = address_features(spark, sf_dir)
+    empty = table(spark, sf_dir, "nation").select(F.concat(F.lit("empty"), F.col("n_nationkey").cast("string")).alias("path"))
+    return P.feature_counts(features, features.select("path").distinct().unionByName(empty))
 
 
 def _written_pages(spark: SparkSession, sf_dir: str) -> str:

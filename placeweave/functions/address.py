@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .variant import as_object, as_text, either, holds, non_empty
+from .variant import as_object, as_text, either, holds, non_empty, truthy
 
 # Region codes and their names.
 REGION_NAMES = {
@@ -23,7 +23,7 @@ _MEMBERS = {
     "Phase": _PHASE,
     "Estate": "EstateName: string, ChiPhase: variant, EngPhase: variant",
     "Village": "VillageName: string",
-    "Street": "StreetName: string, Street: string, BuildingNoFrom: string, BuildingNoTo: string",
+    "Street": "StreetName: string, Street: string, BuildingNoFrom: variant, BuildingNoTo: variant",
 }
 
 _PLAIN = "BuildingName: string, ChiDistrict: string, EngDistrict: string, Region: string"
@@ -63,8 +63,13 @@ def resolve_parts(properties: Column, lang: str, objects: Column, texts: Column)
 
 def point_of(coordinates: Column) -> tuple[Column, Column]:
     """(lon, lat) of a point, or of the first point when the coordinates are nested one level."""
-    flat = [F.try_variant_get(coordinates, f"$[{i}]", "double") for i in (0, 1)]
-    nested = [F.try_variant_get(coordinates, f"$[0][{i}]", "double") for i in (0, 1)]
+
+    def number(path: str) -> Column:
+        """Only a JSON number counts, not a text that reads like one."""
+        kind = F.schema_of_variant(F.try_variant_get(coordinates, path, "variant"))
+        return F.when(kind != "STRING", F.try_variant_get(coordinates, path, "double"))
+
+    flat, nested = [number(f"$[{i}]") for i in (0, 1)], [number(f"$[0][{i}]") for i in (0, 1)]
     is_flat, is_nested = (p[0].isNotNull() & p[1].isNotNull() for p in (flat, nested))
     lon, lat = (F.when(is_flat, flat[i]).when(is_nested, nested[i]) for i in (0, 1))
     return lon, lat
@@ -136,7 +141,8 @@ def pick_street(r: Column) -> Column:
 
 
 def building_number(r: Column, lang: str) -> Column:
-    start, end = non_empty(r["street"]["BuildingNoFrom"]), non_empty(r["street"]["BuildingNoTo"])
+    # A number zero holds nothing; the text "0" does.
+    start, end = (F.when(truthy(r["street"][m]), as_text(r["street"][m])) for m in ("BuildingNoFrom", "BuildingNoTo"))
     number = F.when(end.isNotNull(), F.concat(start, F.lit("-"), end)).otherwise(start)
     return F.concat(number, F.lit("號")) if lang == "zh" else number
 

@@ -35,3 +35,8 @@ def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     kept = [c for c in df.columns if c != key]
     winner = F.min_by(F.struct(*kept), F.struct(*order)).alias("row")
     return df.groupBy(key).agg(winner).select(key, "row.*")
+
+
+def file_order(rows: DataFrame) -> list[str]:
+    """The columns that sort scanned rows like their files."""
+    return [c for c in ("path", "block", "pos") if c in rows.columns]

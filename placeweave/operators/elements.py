@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.osm import matches_any_selector, tag
 from ..functions.text import split_combined_name
 from ..functions.variant import non_empty
+from .dedup import file_order
 from .polygons import is_ring, points_in_polygons, ring_of
 from .sizing import BroadcastLimit
 
@@ -25,18 +26,19 @@ def filter_place_types(elements: DataFrame, kinds: Iterable[str] = LOCALITY_KIND
     return elements.withColumn("place", place).filter(F.col("place").isin([k.lower() for k in kinds]))
 
 
-def load_places(elements: DataFrame, kinds: Iterable[str] = LOCALITY_KINDS, order: Sequence[str] = ("path", "pos")) -> DataFrame:
+def load_places(elements: DataFrame, kinds: Iterable[str] = LOCALITY_KINDS, order: Sequence[str] | None = None) -> DataFrame:
     """(order..., lat, lon, zh_name, en_name, place, tags) of usable locality labels.
 
-    Coordinates are the element's own or its centre's. A missing name is taken from the combined ``name`` tag; labels
+    Coordinates are the element's own pair or its centre's; ``order`` defaults to the scan's own. A missing name is taken from the combined ``name`` tag; labels
     without both names are dropped.
     """
-    tags = F.col("tags")
+    tags, order = F.col("tags"), order or file_order(elements)
     zh, en = split_combined_name(tag(tags, "name"))
+    own = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     labels = filter_place_types(elements, kinds).select(
         *order,
-        F.coalesce("lat", "center.lat").alias("lat"),
-        F.coalesce("lon", "center.lon").alias("lon"),
+        F.when(own, F.col("lat")).otherwise(F.col("center.lat")).alias("lat"),
+        F.when(own, F.col("lon")).otherwise(F.col("center.lon")).alias("lon"),
         F.coalesce(non_empty(tag(tags, "name:zh")), zh).alias("zh_name"),
         F.coalesce(non_empty(tag(tags, "name:en")), en).alias("en_name"),
         "place",

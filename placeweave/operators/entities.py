@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.osm import geometry_ref, osm_type_code
 from ..functions.text import extract_place_phrase, slugify
 from ..functions.variant import non_empty, truthy
+from ..session import landed
 from .sizing import spread_key
 
 # Where a new entity's record says it comes from, and its kind.
@@ -18,6 +19,9 @@ DISTRICT_MEMBERS = ("suburb", "city", "county", "village", "municipality")
 
 SUGGESTION_LIMIT = 200
 
+# A document that holds none of these has no frontmatter.
+_IDENTITY = ("id", "names.en", "names.zh", "category", "lat", "lon", "source", "last_updated", "tags", "geometry_ref", "assigned_district", "source_version")
+
 
 def entity_candidates(features: DataFrame, properties: str = "properties") -> DataFrame:
     """Distinct place names: village names of structured addresses, place phrases of free-text ones."""
@@ -77,7 +81,9 @@ def new_entities(requests: DataFrame, existing: DataFrame, as_of: str) -> DataFr
     Requests that fold to one slug give one entity, the first by their own columns.
     """
     wanted = requests.withColumn("slug", slugify(F.col("slug")))
-    order = [c for c in ("en", "zh", "category", "lat", "lon", "source") if c in requests.columns]
+    kinds = {"en": "string", "zh": "string", "category": "string", "lat": "double", "lon": "double", "source": "string"}
+    wanted = wanted.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in requests.columns})
+    order = list(kinds)
     fresh = wanted.join(existing.select("slug").distinct(), "slug", "left_anti")
     first = fresh.groupBy("slug").agg(F.min(F.struct(*order)).alias("r"))
     return first.select(
@@ -128,8 +134,9 @@ def details_key(code: Column, osm_id: Column, cls: Column, entrances: Column) ->
 
 
 def pending_requests(requests: DataFrame, results: DataFrame, key: str = "request_key", force: bool = False) -> DataFrame:
-    """Distinct requests without a stored result; all of them when forced."""
-    wanted = requests.dropDuplicates([key]) if len(requests.columns) == 1 else requests
+    """One request per key without a stored result, all keys when forced; other columns are those of the least row."""
+    rest = [c for c in requests.columns if c != key]
+    wanted = best_candidate(requests, key, rest).select(requests.columns) if rest else requests.distinct()
     return wanted if force else wanted.join(results.select(key).distinct(), key, "left_anti")
 
 
@@ -173,7 +180,8 @@ def enrich_entities(
 
     ``requests(slug, name)``; ``entities(slug, <entity fields>, body)``; ``hits(query, <rank>, display_name, osm_type,
     osm_id)``; ``details(osm_code, osm_id, details)``. Each join has at most one right-hand row per key, so an
-    often-asked name cannot multiply rows. Entities without a hit keep their fields and get ``no_candidates``.
+    often-asked name cannot multiply rows; those sides are landed, so a hot name or element can be split. An entity whose
+    document has no frontmatter counts as new. Entities without a hit keep their fields and get ``no_candidates``.
     """
     known = entities.withColumn("_known", F.lit(True))
     asked = requests.select("slug", F.col("name").alias("_name")).join(known, "slug", "left")
@@ -185,7 +193,7 @@ def enrich_entities(
     best = best.select(
         F.col("query").alias("_query"), F.lit(True).alias("_hit"), "display_name", "osm_type", "osm_id"
     )
-    found = asked.join(best, "_query", "left")
+    found = asked.join(landed(best, "best-hits"), "_query", "left")
 
     # Details are fetched only for hits that say what they are; the other rows get keys that match nothing.
     typed = (F.coalesce("osm_type", F.lit("")) != "") & (F.coalesce("osm_id", F.lit(0)) != 0)
@@ -195,10 +203,10 @@ def enrich_entities(
     by_element = details.groupBy(F.col("osm_code").alias("_letter"), F.col("osm_id").alias("_element")).agg(
         F.min_by("details", F.to_json("details")).alias("_details")
     )
-    detailed = found.join(by_element, ["_letter", "_element"], "left")
+    detailed = found.join(landed(by_element, "details"), ["_letter", "_element"], "left")
 
     ok = F.coalesce("_hit", F.lit(False))
-    is_new = F.col("_known").isNull()
+    is_new = F.col("_known").isNull() | F.coalesce(*[F.col(c).cast("string") for c in _IDENTITY]).isNull()
     has_details = ok & F.col("_code").isNotNull()
 
     def default(column: str, value: Column) -> Column:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, landed
 from .sizing import BroadcastLimit, row_salt, spread_coordinate, spread_key
 
 CROWD = 256
@@ -50,8 +50,8 @@ def _placed(labels: DataFrame, x: str, y: str, order: Sequence[str], carry: Sequ
 
 
 def _unique(placed: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One label per exact position, the first by ``order``: the other copies can never win a tie."""
-    first = F.min_by("label", F.struct(*[F.col(f"label.{c}") for c in order]))
+    """One label per exact position, the first by ``order``, then by the label: the other copies can never win a tie."""
+    first = F.min_by("label", F.struct(*[F.col(f"label.{c}") for c in order], F.col("label")))
     return placed.groupBy("px", "py").agg(first.alias("label"))
 
 
@@ -106,13 +106,13 @@ def nearest_within(
 ) -> DataFrame:
     """Left join every row of ``points`` to its nearest label within ``radius`` (inclusive).
 
-    Ties go to the first label by ``order``. ``carry`` maps label columns to output names. Rows without usable
+    Ties go to the first label by ``order``, then by the carried columns. ``carry`` maps label columns to output names. Rows without usable
     coordinates or without a label in range get nulls.
     """
     if radius <= 0:
         raise ValueError("radius must be positive")
     x, y = point_xy
-    placed = _placed(labels, *label_xy, order, list(carry))
+    placed = _unique(_placed(labels, *label_xy, order, list(carry)), order)
     stats = _crowding(placed, radius, 1)
     label_type = placed.schema["label"].dataType
 
@@ -128,7 +128,7 @@ def nearest_within(
         # Before pruning a cell holds at most the labels of the crowd-checked cells around it.
         blocks = _blocks(placed, radius)
         copies = LOOKUP_COPIES * stats[0]["n"]
-        blocks = limit.hint(blocks, copies, LOOKUP_COPIES * (stats[0]["bytes"] + 48 * stats[0]["n"]))
+        blocks = limit.joinable(blocks, copies, LOOKUP_COPIES * (stats[0]["bytes"] + 48 * stats[0]["n"]), "blocks")
         side, usable, salt = radius / LOOKUP_SPLIT, _usable(x, y), row_salt(points)
         cells = {a: spread_key(_cell(F.col(c), side), usable, salt) for a, c in (("_cx", x), ("_cy", y))}
         joined = points.withColumns(cells).join(blocks, ["_cx", "_cy"], "left")
@@ -137,10 +137,10 @@ def nearest_within(
             *points.columns, *carry.values(), distance_column
         )
 
-    found = _descend(points.filter(_usable(x, y)), _unique(placed, order), radius, x, y, order, limit, crowd)
+    found = _descend(points.filter(_usable(x, y)), placed, radius, x, y, order, limit, crowd)
     usable, salt = _usable(x, y), row_salt(points)
     keys = {a: spread_coordinate(F.col(c), usable, salt) for a, c in (("_x", x), ("_y", y))}
-    joined = points.withColumns(keys).join(found, ["_x", "_y"], "left")
+    joined = points.withColumns(keys).join(landed(found, "nearest"), ["_x", "_y"], "left")
     return joined.withColumns(outputs(F.col("_best"))).select(*points.columns, *carry.values(), distance_column)
 
 
@@ -227,7 +227,7 @@ def _descend(points: DataFrame, unique: DataFrame, radius: float, x: str, y: str
         unique.groupBy(_cell(F.col("px"), side[last]).alias("cx"), _cell(F.col("py"), side[last]).alias("cy"))
         .agg(F.collect_list(F.struct("px", "py", "label")).alias("_block"))
     )
-    leaves = limit.hint(leaves, stats[last]["n"], stats[last]["bytes"] + 48 * stats[last]["n"])
+    leaves = limit.joinable(leaves, stats[last]["n"], stats[last]["bytes"] + 48 * stats[last]["n"], "leaves")
     best = _best(F.col("_x"), F.col("_y"), F.col("_block"), radius, order)
     return (
         frontier.join(leaves, ["cx", "cy"])

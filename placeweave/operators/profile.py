@@ -26,15 +26,21 @@ def top_keys_global(per_file: DataFrame, n: int = 40) -> DataFrame:
     return global_key_freq(per_file).orderBy(F.desc("cnt"), "key").limit(n)
 
 
-def feature_counts(features: DataFrame, properties: str = "properties", by: str = "path") -> DataFrame:
-    """(by, features, keys) per file plus a total row with a null ``by``.
+def feature_counts(features: DataFrame, files: DataFrame | None = None, properties: str = "properties", by: str = "path") -> DataFrame:
+    """(by, files, features, keys) per file plus a total row with a null ``by``.
+
+    ``files`` lists all files by the same column, so that those without features are rows of zeros and count as files.
 
     Rows are first reduced to one per (file, key set), so the distinct count never sees single features.
     """
     key_sets = features.groupBy(by, F.json_object_keys(properties).alias("_keys")).agg(F.count("*").alias("n"))
     keyed = key_sets.select(by, "n", F.posexplode_outer("_keys").alias("_i", "key"))
-    counted = F.sum(F.when(F.coalesce("_i", F.lit(0)) == 0, F.col("n"))).alias("features")
-    return keyed.rollup(by).agg(counted, F.count_distinct("key").alias("keys"))
+    counted = F.sum(F.when(F.coalesce("_i", F.lit(0)) == 0, F.col("n")))
+    if files is not None:
+        listed = files.select(by).distinct()
+        keyed = listed.join(keyed, by, "left")
+    per_file = keyed.rollup(by).agg(F.coalesce(counted, F.lit(0)).alias("features"), F.count_distinct("key").alias("keys"), F.count_distinct(by).alias("n"))
+    return per_file.select(by, F.col("n").alias("files"), "features", "keys")
 
 
 def fill_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

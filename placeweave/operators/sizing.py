@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import landed
+
 # A broadcast side never exceeds this many rows nor bytes; beyond it the same join is shuffled.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -23,6 +25,10 @@ class BroadcastLimit:
         """Mark ``df`` for broadcast when its measured size is within the limit, else leave it to the shuffle."""
         return F.broadcast(df) if self.allows(rows, nbytes) else df
 
+    def joinable(self, df: DataFrame, rows: int, nbytes: int, name: str) -> DataFrame:
+        """As :meth:`hint` for a side made by grouping: beyond the limit it is landed first, so hot keys can be split."""
+        return F.broadcast(df) if self.allows(rows, nbytes) else landed(df, name)
+
 
 NEVER = BroadcastLimit(rows=-1, bytes=-1)
 

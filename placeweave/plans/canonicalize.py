@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import address as A
 from ..functions.text import map_district, normalize_text_columns
-from ..operators.dedup import dedup_key, first_wins
+from ..operators.dedup import dedup_key, file_order, first_wins
 from ..schemas import CANONICAL, TEXT_COLUMNS
 from ..sources.geojson import scan_feature_lines, scan_features
 
@@ -19,6 +19,8 @@ DEFAULT_SOURCE = "gov_hk/ALS-GeoJSON"
 def parse_features(features: DataFrame) -> DataFrame:
     """JSON text -> VARIANT ``props`` and ``coords``. Unreadable properties become null instead of stopping the run."""
     keys = [c for c in features.columns if c not in ("geometry", "properties")]
+    # A repeated member keeps its last value, whatever the session says.
+    features.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return features.select(
         *keys,
         F.try_parse_json("properties").alias("props"),
@@ -79,7 +81,7 @@ def canonicalize_feature(features: DataFrame, phase_from_estate: bool = False) -
 
 def canonicalize(
     features: DataFrame,
-    order: Sequence[str] = ("path", "pos"),
+    order: Sequence[str] | None = None,
     *,
     phase_from_estate: bool = False,
     normalize_district: bool = False,
@@ -88,10 +90,17 @@ def canonicalize(
     source_version: str | None = None,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Features (with their order columns) -> deduplicated canonical table: one shuffle, on the dedup key."""
-    rows = canonicalize_feature(features.select(*order, "geometry", "properties"), phase_from_estate)
+    """Features (with their order columns) -> deduplicated canonical table: one shuffle, on the dedup key.
+
+    ``order`` defaults to those of path, block and pos that the scan gives. Unreadable features stay rows of their own.
+    """
+    order = list(order or file_order(features))
+    unread = F.col("properties").isNotNull() & F.try_parse_json("properties").isNull()
+    marked = features.select(*order, "geometry", "properties", unread.alias("_unread"))
+    rows = canonicalize_feature(marked, phase_from_estate)
     key = dedup_key(*[F.col(c) for c in ("id", "geoaddress", "lat", "lon", "address_chi", "address_eng")])
-    kept = first_wins(rows.withColumn("_key", key), "_key", list(order))
+    key = F.when(F.col("_unread"), F.concat_ws("::", F.lit("unread"), *order)).otherwise(key)
+    kept = first_wins(rows.withColumn("_key", key).drop("_unread"), "_key", order)
     out = kept
     if normalize_district:
         out = out.withColumns({c: map_district(F.col(c)) for c in ("district_chi", "district_eng")})
@@ -108,8 +117,15 @@ def canonicalize(
 
 
 def canonicalize_files(
-    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, one_feature_per_line: bool = False, **options
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    recursive: bool = False,
+    one_feature_per_line: bool = False,
+    layout: str | None = None,
+    **options,
 ) -> DataFrame:
-    if one_feature_per_line:
-        return canonicalize(scan_feature_lines(spark, paths, recursive), ("path", "block", "pos"), **options)
+    """``layout`` names a splittable one; without it each file is read whole."""
+    layout = layout or ("line" if one_feature_per_line else None)
+    if layout:
+        return canonicalize(scan_feature_lines(spark, paths, recursive, layout), **options)
     return canonicalize(scan_features(spark, paths, recursive), **options)

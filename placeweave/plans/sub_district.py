@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geodesy import hk80_grid
 from ..functions.text import inject_sub_district, village_fallback
+from ..operators.dedup import file_order
 from ..operators.nearest import nearest_within
 from ..operators.sizing import BroadcastLimit
 
@@ -24,11 +25,12 @@ def nearest_locality(
     addresses: DataFrame,
     places: DataFrame,
     max_m: float = DEFAULT_RADIUS_M,
-    order: Sequence[str] = ("path", "pos"),
+    order: Sequence[str] | None = None,
     limit: BroadcastLimit = BroadcastLimit(),
 ) -> DataFrame:
     """Add ``sub_district_chi``, ``sub_district_eng`` and ``sub_district_dist_m`` from latitudes and longitudes."""
     usable = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    order = list(order or file_order(places))
     projected = places.filter(usable).select(*order, *_CARRY, hk80_grid(F.col("lat"), F.col("lon")).alias("_grid"))
     found = nearest_within(
         _flat(addresses.withColumn("_grid", hk80_grid(F.col("lat"), F.col("lon")))),
@@ -51,7 +53,7 @@ def derive_sub_district(
     *,
     prefer_village: bool = True,
     inject_into_address: bool = False,
-    order: Sequence[str] = ("path", "pos"),
+    order: Sequence[str] | None = None,
     limit: BroadcastLimit = BroadcastLimit(),
 ) -> DataFrame:
     """Nearest locality, then the village name where there is none, then optionally the splice into the addresses."""

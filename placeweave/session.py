@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings worth having on any session that runs these jobs. AQE's skew-join split is what keeps a cell or key
 # holding a large share of the rows from landing in one task; duplicate JSON keys keep their last value.
@@ -46,3 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it from there.
+
+    What is read carries no partitioning, so a join on it shuffles both sides, which is what lets Spark split a hot key.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import sys
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import ENTITY
 
-_DOCUMENT = r"(?s)^---\n(.*?)\n---\n(.*)$"
+# The parser travels with the job, so executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Fixed value: frontmatter between dashes, an empty line that rendering puts before the body, and the body.
+_DOCUMENT = r"(?s)^---\n(.*?)\n---\n\n?(.*)$"
+
+# The known fields, and every other member as its JSON text, so that a rewrite loses nothing.
+DOCUMENT = T.StructType([*ENTITY.fields, T.StructField("extra", T.MapType(T.StringType(), T.StringType()))])
 
 
 def _scalar_text(value):
@@ -17,7 +26,11 @@ def _scalar_text(value):
 
 
 def _number(value):
-    return float(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else None
+    """A number, or a text that reads like one."""
+    try:
+        return None if isinstance(value, (bool, list, dict)) or value is None else float(value)
+    except ValueError:
+        return None
 
 
 def _entity_row(front) -> dict:
@@ -28,26 +41,37 @@ def _entity_row(front) -> dict:
     row["names"] = {"en": _scalar_text(names.get("en")), "zh": _scalar_text(names.get("zh"))}
     row["tags"] = [str(t) for t in tags] if isinstance(tags, list) else None
     row["lat"], row["lon"] = _number(front.get("lat")), _number(front.get("lon"))
+    known = set(ENTITY.fieldNames())
+    row["extra"] = {str(k): json.dumps(v, ensure_ascii=False, sort_keys=True, default=str) for k, v in front.items() if k not in known} or None
     return row
 
 
-@F.pandas_udf(ENTITY)
-def parse_frontmatter(texts: pd.Series) -> pd.DataFrame:
-    """YAML mapping -> entity fields; text that is not a YAML mapping gives all nulls."""
-    try:
-        import yaml
-    except ImportError as exc:
-        raise ImportError("reading entity documents needs PyYAML") from exc
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+def frontmatter_parser():
+    """YAML mapping -> entity fields, for a text column; text that is not a YAML mapping gives all nulls."""
+
+    @F.arrow_udf(DOCUMENT)
+    def parse_frontmatter(texts):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
 
-    def parse(text):
         try:
-            return yaml.load(text, Loader=loader) if text else None
-        except yaml.YAMLError:
-            return None
+            import yaml
+        except ImportError as exc:
+            raise ImportError("reading entity documents needs PyYAML") from exc
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 
-    rows = [_entity_row(parse(t)) for t in texts]
-    return pd.DataFrame(rows, columns=ENTITY.fieldNames())
+        def parse(text):
+            try:
+                return yaml.load(text, Loader=loader) if text else None
+            except yaml.YAMLError:
+                return None
+
+        rows = [_entity_row(parse(t.as_py())) for t in texts]
+        for row in rows:
+            row["extra"] = list(row["extra"].items()) if row["extra"] else None
+        return pa.array(rows, to_arrow_type(DOCUMENT))
+
+    return parse_frontmatter
 
 
 def entity_fields(document: Column) -> dict[str, Column]:
@@ -61,7 +85,7 @@ def parse_entity_docs(documents: DataFrame, document: str = "document") -> DataF
     """Replace the ``document`` column by the entity fields and the body."""
     keys = [c for c in documents.columns if c != document]
     split = documents.select(*keys, *[c.alias(n) for n, c in entity_fields(F.col(document)).items()])
-    parsed = split.withColumn("e", parse_frontmatter("frontmatter"))
+    parsed = split.withColumn("e", frontmatter_parser()("frontmatter"))
     return parsed.select(*keys, "e.*", "body")
 
 
@@ -93,29 +117,40 @@ def _quoted(value: Column) -> Column:
 
 
 def render_document(entity: dict[str, Column], body: Column | None = None) -> Column:
-    """Frontmatter with sorted keys plus body; optional keys appear only when they hold something."""
-    head = [
-        F.concat(F.lit("category: "), _quoted(entity["category"])),
-        F.concat(F.lit("id: "), _quoted(entity["id"])),
-        F.concat(F.lit("last_updated: "), _quoted(entity["last_updated"])),
-        F.concat(F.lit("lat: "), F.coalesce(entity["lat"].cast("string"), F.lit("null"))),
-        F.concat(F.lit("lon: "), F.coalesce(entity["lon"].cast("string"), F.lit("null"))),
-        F.concat(F.lit("names:\n  en: "), _quoted(entity["names_en"])),
-        F.concat(F.lit("  zh: "), _quoted(entity["names_zh"])),
-        F.concat(F.lit("source: "), _quoted(entity["source"])),
-    ]
-    optional = [
-        F.when(entity[k].isNotNull(), F.concat(F.lit(f"{k}: "), _quoted(entity[k])))
-        for k in ("assigned_district", "geometry_ref", "source_version")
-        if k in entity
-    ]
+    """Frontmatter with sorted keys plus body; optional keys appear only when they hold something.
+
+    ``entity["extra"]``, a map of JSON texts, is written among the rest: parsing and rendering again changes nothing.
+    """
+
+    def plain(key: str) -> Column:
+        return F.coalesce(entity[key].cast("string"), F.lit("null"))
+
+    lines = {key: _quoted(entity[key]) for key in ("category", "id", "last_updated", "source")}
+    lines |= {key: plain(key) for key in ("lat", "lon")}
+    lines["names"] = F.concat(F.lit("\n  en: "), _quoted(entity["names_en"]), F.lit("\n  zh: "), _quoted(entity["names_zh"]))
+    for key in ("assigned_district", "geometry_ref", "source_version"):
+        if key in entity:
+            lines[key] = F.when(entity[key].isNotNull(), _quoted(entity[key]))
     if "tags" in entity:
-        lines = F.array_join(F.transform(entity["tags"], lambda t: F.concat(F.lit("- "), _quoted(t))), "\n")
-        optional.append(F.when(F.size(entity["tags"]) > 0, F.concat(F.lit("tags:\n"), lines)))
+        tags = F.array_join(F.transform(entity["tags"], lambda t: F.concat(F.lit("\n- "), _quoted(t))), "")
+        lines["tags"] = F.when(F.size(entity["tags"]) > 0, tags)
+
+    def entry(key: str, value: Column) -> Column:
+        gap = "" if key in ("names", "tags") else " "
+        return F.when(value.isNotNull(), F.struct(F.lit(key).alias("key"), F.concat(F.lit(f"{key}:{gap}"), value).alias("line")))
+
+    entries = F.array_compact(F.array(*[entry(k, v) for k, v in lines.items()]))
+    if "extra" in entity:
+        others = F.transform(
+            F.map_entries(entity["extra"]),
+            lambda e: F.struct(e["key"].alias("key"), F.concat(e["key"], F.lit(": "), e["value"]).alias("line")),
+        )
+        entries = F.concat(entries, F.coalesce(others, F.array().cast("array<struct<key:string,line:string>>")))
+    head = F.array_join(F.transform(F.array_sort(entries), lambda e: e["line"]), "\n")
     if body is None:
         title = F.when(
             F.coalesce(entity["names_zh"], F.lit("")) != "",
             F.concat(entity["names_en"], F.lit(" ("), entity["names_zh"], F.lit(")")),
         ).otherwise(F.coalesce(entity["names_en"], F.lit("")))
         body = F.concat(F.lit("# "), title, F.lit("\n\nShort description.\n"))
-    return F.concat(F.lit("---\n"), F.concat_ws("\n", *head, *optional), F.lit("\n---\n\n"), F.coalesce(body, F.lit("")))
+    return F.concat(F.lit("---\n"), head, F.lit("\n---\n\n"), F.coalesce(body, F.lit("")))

@@ -8,9 +8,9 @@ from placeweave.sources.geojson import land_features, scan_feature_lines, scan_f
 SCHEMA = "path string, pos int, geometry struct<type:string,coordinates:string>, properties string"
 
 
-def feature(csu="abc123", coordinates=(114.1, 22.2), chi=None, eng=None, **extra):
-    chi = {"ChiDistrict": "西區", "BuildingName": "愛道園", "ChiEstate": {"EstateName": "西環邨"}} if chi is None else chi
-    eng = {"EngDistrict": "WEST", "BuildingName": "Oi Do Yuen", "EngEstate": {"EstateName": "Sai Wan Estate"}} if eng is None else eng
+def feature(csu="zz77", coordinates=(114.1, 22.2), chi=None, eng=None, **extra):
+    chi = {"ChiDistrict": "南區", "BuildingName": "松風樓", "ChiEstate": {"EstateName": "晴川邨"}} if chi is None else chi
+    eng = {"EngDistrict": "SOUTH", "BuildingName": "Pine Wind House", "EngEstate": {"EstateName": "Clear River Estate"}} if eng is None else eng
     premises = {"BuildingCsuInformation": {"CsuId": csu}, "ChiPremisesAddress": chi, "EngPremisesAddress": eng, **extra}
     return {
         "type": "Feature",
@@ -33,11 +33,11 @@ def one(spark, f, **options):
 
 def test_fields(spark):
     r = one(spark, feature())
-    assert r.id == r.geoaddress == "abc123"
-    assert (r.building_chi, r.building_eng, r.estate_chi) == ("愛道園", "Oi Do Yuen", "西環邨")
-    assert "愛道園" in r.address_chi and "Oi Do Yuen" in r.address_eng
+    assert r.id == r.geoaddress == "zz77"
+    assert (r.building_chi, r.building_eng, r.estate_chi) == ("松風樓", "Pine Wind House", "晴川邨")
+    assert "松風樓" in r.address_chi and "Pine Wind House" in r.address_eng
     assert (r.lat, r.lon, r.easting, r.northing) == (22.2, 114.1, 1.5, 2.5)
-    assert r.address_chi == "西區 西環邨 愛道園" and r.address_eng == "Oi Do Yuen, Sai Wan Estate, WEST"
+    assert r.address_chi == "南區 晴川邨 松風樓" and r.address_eng == "Pine Wind House, Clear River Estate, SOUTH"
 
 
 def test_multipoint_takes_first_point(spark):
@@ -96,8 +96,8 @@ def test_empty_or_missing_blocks(spark):
 
 
 def test_text_is_normalised(spark):
-    r = one(spark, feature(eng={"BuildingName": "　Ｏｉ Ｄｏ　Yuen　"}))
-    assert r.building_eng == "Oi Do Yuen" and r.address_eng == "Oi Do Yuen"
+    r = one(spark, feature(eng={"BuildingName": "　Ｐｉｎｅ Ｗｉｎｄ　House　"}))
+    assert r.building_eng == "Pine Wind House" and r.address_eng == "Pine Wind House"
 
 
 def test_duplicate_json_keys_keep_the_last(spark):
@@ -138,7 +138,7 @@ def test_dedup_falls_back_to_position_then_text(spark):
 
 def test_provenance_on_request(spark):
     r = canonicalize(rows(spark, feature()), keep_provenance=True, source_version="v1", as_of="2026-01-01").first()
-    assert (r.source_version, r.last_modified, r.geoaddress, r.tags) == ("v1", "2026-01-01", "abc123", [])
+    assert (r.source_version, r.last_modified, r.geoaddress, r.tags) == ("v1", "2026-01-01", "zz77", [])
 
 
 def test_normalised_districts_on_request(spark):

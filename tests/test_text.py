@@ -1,5 +1,4 @@
 import random
-import re
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ def test_normalize_matches_unicode_tables(spark):
     rnd = random.Random(7)
     alphabet = [chr(c) for lo, hi in ((0x20, 0x7F), (0x4E00, 0x4E40), (0xFF01, 0xFF5E), (0xA0, 0x180), (0x300, 0x310), (0xF900, 0xF920), (0x2070, 0x20A0), (0xAC00, 0xAC10), (0x1100, 0x1110), (0x2000, 0x200B)) for c in range(lo, hi)]
     alphabet += ["\t", "\n", "\x1c", "\x1f", "\x85", "　", "ﬁ", "é", "①", "㎏", "ア", "ｱ", "ﾞ"]
-    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(4000)] + [None, "", " 西環邨 ", "\x1dA"]
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(4000)] + [None, "", " 晴川邨 ", "\x1dA"]
     got = [r.t for r in T.normalize_text_columns(texts(spark, values), ["t"]).orderBy("i").collect()]
     assert got == [unicodedata.normalize("NFKC", v.strip()) if v else v for v in values]
 
@@ -33,11 +32,8 @@ def test_screened_characters_never_change():
 def test_slugify(spark):
     values = ["Tai Po", "  大埔 墟! ", "A_b--c  d", "Hong　Kong", "é!x", "①a\x1cb", None]
 
-    def plain(text):
-        kept = re.sub(r"[^\w\-\s]", "", text.strip().lower())
-        return re.sub(r"\s+", "-", kept)
-
-    assert ask(spark, values, T.slugify(F.col("t"))) == [plain(v) if v is not None else None for v in values]
+    expected = ["tai-po", "大埔-墟", "a_b--c-d", "hong-kong", "éx", "①a-b", None]
+    assert ask(spark, values, T.slugify(F.col("t"))) == expected
 
 
 def test_split_combined_name(spark):
@@ -56,7 +52,7 @@ def test_map_district(spark):
 
 def test_inject_is_idempotent(spark):
     df = spark.createDataFrame(
-        [("新界大埔區某街1號", "大埔區", "太和", "1 Some Street, Tai Po District, New Territories", "Tai Po District", "Tai Wo")],
+        [("新界元朗區試驗徑8號", "元朗區", "水邊", "8 Trial Path, Yuen Long District, New Territories", "Yuen Long District", "Water Side")],
         "ac string, dc string, sc string, ae string, de string, se string",
     )
 
@@ -69,17 +65,14 @@ def test_inject_is_idempotent(spark):
         )
 
     once, twice = splice(df).first(), splice(splice(df)).first()
-    assert once.ac == "新界大埔區 太和某街1號" and once.ae == "1 Some Street, Tai Wo Tai Po District, New Territories"
+    assert once.ac == "新界元朗區 水邊試驗徑8號" and once.ae == "8 Trial Path, Water Side Yuen Long District, New Territories"
     assert once == twice
 
 
 def test_place_phrase(spark):
     values = ["Flat 3, Happy Valley Court, Kowloon", "no such thing", "Estate", "x Estate y Tower z", None, "a,Lee Garden", "Garden. B Plaza"]
 
-    def plain(text):
-        m = re.search(r"([A-Za-z0-9\s]+(?:Estate|Court|Garden|Centre|Mansion|Plaza|Tower))", text)
-        return m.group(1).strip() if m else None
-
-    assert ask(spark, values, T.extract_place_phrase(F.col("t"))) == [plain(v) if v else None for v in values]
+    expected = ["Happy Valley Court", None, None, "x Estate y Tower", None, "Lee Garden", "B Plaza"]
+    assert ask(spark, values, T.extract_place_phrase(F.col("t"))) == expected
     long = "lorem ipsum " * 20000
     assert ask(spark, [long, long + "Tower", long + ". Old Tower"], F.length(T.extract_place_phrase(F.col("t")))) == [None, len(long) + 5, 9]
