@@ -8,7 +8,7 @@ first and each pre-token is encoded alone; decoding looks the bytes of each id u
 from __future__ import annotations
 
 import base64
-import re
+import gc
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -147,6 +147,16 @@ class Codec:
 
     def encode_many(self, texts: Iterable[str]) -> Iterator:
         """Ids of each text as an array. Texts go through in blocks, so new words reach the processor many at a time."""
+        collects = gc.isenabled()
+        # Nothing made here refers to itself, and the collector would walk all remembered words again and again.
+        gc.disable()
+        try:
+            yield from self._encode_blocks(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode_blocks(self, texts: Iterable[str]) -> Iterator:
         block, size = [], 0
         for text in texts:
             block.append(text.encode("utf-8", "replace"))
@@ -182,11 +192,13 @@ class Codec:
             self.known = {name: self.known[name] for name in names if name in self.known}
         known = self.known
         new = {name: str(data[a:b], "utf-8") for name, (a, b) in zip(names, places, strict=True) if name not in known}
-        # A line feed before a space is a pre-token of its own: words that are one pre-run after a space split together.
-        split, spaced = self._tools()[0], {n: w for n, w in new.items() if w[0] == " " and len(w) > 1 and not _BLANK.search(w, 1)}
-        parts = dict(zip(spaced, _groups(split("\n" + "\n".join(spaced.values())))[1:], strict=True)) if spaced else {}
-        parts |= {name: split(word) for name, word in new.items() if name not in spaced}
-        ids = self._learn(list(set(chain.from_iterable(parts.values()))))
+        split = self._tools()[0]
+        # Letters alone, or after one space, are a pre-token wherever the pattern takes them so.
+        plain = split(" ab") == [" ab"] and split("ab") == ["ab"]
+        whole = {name: word for name, word in new.items() if plain and (word.isalpha() or word[0] == " " and word[1:].isalpha())}
+        parts = {name: split(word) for name, word in new.items() if name not in whole}
+        ids = self._learn(list(set(chain(whole.values(), chain.from_iterable(parts.values())))))
+        known.update(zip(whole, map(ids.__getitem__, whole.values()), strict=True))
         for name, pieces in parts.items():
             known[name] = ids[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, pieces)))
         return list(map(known.__getitem__, names))
@@ -198,20 +210,6 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_BLANK = re.compile(r"\s")
-
-
-def _groups(pieces: list[str]) -> list[list[str]]:
-    """Pieces between line feeds."""
-    out: list[list[str]] = [[]]
-    for piece in pieces:
-        if piece == "\n":
-            out.append([])
-        else:
-            out[-1].append(piece)
-    return out
-
-
 def word_starts(data, ends):
     """Where words of joined texts start: places where every pattern of this family starts a pre-token.
 
