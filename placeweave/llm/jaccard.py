@@ -148,10 +148,10 @@ def shingle_sets(texts: list[str], n: int):
         yield np.unique(rows)
 
 
-def _texts(batch, name: str = "text"):
+def _texts(batch, name: str = "text", step: int = 256):
     column = batch.column(name)
-    for at in range(0, len(column), 512):
-        yield at, [t or "" for t in column[at : at + 512].to_pylist()]
+    for at in range(0, len(column), step):
+        yield at, [t or "" for t in column[at : at + step].to_pylist()]
 
 
 def shingle_counts(docs: DataFrame, settings: Settings, text: str = "text"):
@@ -238,21 +238,23 @@ class Sets:
     def of(self, names: DataFrame) -> DataFrame:
         n = self.settings.words
 
-        @F.arrow_udf("struct<v: bigint, set: array<bigint>>")
-        def sets(texts):
+        def sets(batches):
             import numpy as np
             import pyarrow as pa
 
-            rows = list(shingle_sets([t or "" for t in texts.to_pylist()], n))
-            ends = np.cumsum([0, *map(len, rows)])
-            flat = pa.array(np.concatenate([*rows, np.zeros(0, np.uint64)]).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-            return pa.StructArray.from_arrays([pa.array(map(set_name, rows), pa.int64()), lists], ["v", "set"])
+            # Few texts at a time: a batch's sets together would be many times a task's share of memory.
+            for batch in batches:
+                for _, texts in _texts(batch, step=128):
+                    rows = list(shingle_sets(texts, n))
+                    ends = np.cumsum([0, *map(len, rows)])
+                    flat = pa.array(np.concatenate(rows).view(np.int64))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+                    yield pa.RecordBatch.from_arrays([pa.array(map(set_name, rows), pa.int64()), lists], names=["v", "set"])
 
         wanted = store(self.reps.select("v", "id").join(names.distinct(), "v"), "wanted")
         rows = wanted.count()
         chosen = self.docs.join(self.limit.hint(wanted.select("id").distinct(), rows, rows * 16), "id", "left_semi")
-        made = chosen.select(sets("text").alias("s")).select("s.*")
+        made = chosen.select("text").mapInArrow(sets, "v long, set array<long>")
         if self.repeated:
             made = made.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("set").alias("set"))
         return store(made, "sets")
