@@ -21,8 +21,8 @@ from placeweave.llm.store import Shared
 
 # Pre-tokens whose ids a task remembers between blocks, the bytes of a block, and words hashed at once.
 # They set speed and memory only.
-CACHE_ENTRIES = 500_000
-BLOCK_BYTES = 2_000_000
+CACHE_ENTRIES = 300_000
+BLOCK_BYTES = 1_500_000
 WORDS_AT_ONCE = 50_000
 
 # Letters and digits of later Unicode versions than 16, which the rank files' own splitter does not know.

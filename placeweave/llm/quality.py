@@ -25,7 +25,7 @@ STEPS = 10
 
 @dataclass(frozen=True)
 class Settings:
-    per_class: int = 1500
+    per_class: int = 1000
     axes: int = 48
     neighbours: int = 15
     power: int = 8
@@ -109,7 +109,8 @@ class Model:
     def project(self, raw):
         import numpy as np
 
-        pairs = np.log1p(raw[:, : CLASSES * CLASSES]) * self.weights
+        pairs = np.log1p(raw[:, : CLASSES * CLASSES])
+        pairs *= self.weights
         pairs /= np.maximum(np.linalg.norm(pairs, axis=1, keepdims=True), 1e-9)
         forms = raw[:, CLASSES * CLASSES :] * np.float32(self.settings.shape_weight / SHAPES**0.5)
         latent = np.hstack([pairs, forms]) @ self.axes if self.axes is not None else np.hstack([pairs, forms])
@@ -182,11 +183,18 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
                 data = pa.array([r.tobytes() for r in raw], pa.binary())
                 yield pa.RecordBatch.from_arrays([data, pa.array(y, pa.int32())], names=["raw", "quality"])
 
+    from hashlib import blake2b
+
     got = labelled_sample(docs, labels, settings).mapInArrow(rows, "raw binary, quality int").toArrow()
-    raw = np.frombuffer(b"".join(got.column("raw").to_pylist()), np.float32).reshape(-1, WIDTH)
     y = got.column("quality").to_numpy()
+    raw = np.empty((len(y), WIDTH), np.float32)
+    names = []
+    for i, row in enumerate(got.column("raw")):
+        raw[i] = np.frombuffer(row.as_buffer(), np.float32)
+        names.append((blake2b(raw[i]).digest(), y[i]))
+    del got
     # Row order depends on the plan; sorting by content makes the model the same each time.
-    order = sorted(range(len(raw)), key=lambda i: (raw[i].tobytes(), y[i]))
+    order = sorted(range(len(raw)), key=names.__getitem__)
     return fit_rows(raw[order], y[order], settings)
 
 
