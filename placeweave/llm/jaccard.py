@@ -21,7 +21,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeweave.llm.graph import components
-from placeweave.llm.store import Shared, store, text_of
+from placeweave.llm.store import Shared, small_batches, store, text_of
 from placeweave.operators.sizing import BroadcastLimit
 
 BLOCK = 1 << 20
@@ -159,6 +159,7 @@ def shingle_counts(docs: DataFrame, settings: Settings, text: str = "text"):
     import numpy as np
 
     bits, n = settings.sketch_bits, settings.words
+    small_batches(docs.sparkSession)
 
     def count(batches):
         import pyarrow as pa

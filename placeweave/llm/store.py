@@ -29,10 +29,20 @@ def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let at most so many rows go to Python at once: texts are long, and a task's share of memory is not."""
+    if int(spark.conf.get(BATCH)) > rows or int(spark.conf.get(BATCH)) <= 0:
+        spark.conf.set(BATCH, str(rows))
+
+
 class Shared:
     """A broadcast of any object of bounded size; classes travel with it, and a task opens it once."""
 
     def __init__(self, spark: SparkSession, value):
+        small_batches(spark)
         self.held, self.opened = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
 
     def __getstate__(self):
