@@ -146,62 +146,67 @@ class Codec:
         return {p: tuple(next(merged)) if rank is None else (rank,) for p, rank in zip(pieces, ranks, strict=True)}
 
     def encode_many(self, texts: Iterable[str]) -> Iterator:
-        """Ids of each text as an array. Texts go through in blocks, so new words reach the processor many at a time."""
+        """Ids of each text as an array."""
+        import numpy as np
+
+        block = [text.encode("utf-8", "replace") for text in texts]
+        data = np.frombuffer(b"".join(block), np.uint8)
+        yield from self.encode_bytes(data, np.cumsum([0, *map(len, block)]))
+
+    def encode_bytes(self, data, bounds) -> Iterator:
+        """Ids of each text of joined UTF-8 texts. They go through in blocks, so new words reach the processor together."""
+        import numpy as np
+
         collects = gc.isenabled()
         # Nothing made here refers to itself, and the collector would walk all remembered words again and again.
         gc.disable()
         try:
-            yield from self._encode_blocks(texts)
+            low = 0
+            while low < len(bounds) - 1:
+                high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + BLOCK_BYTES, "right")) - 1)
+                yield from self._encode_block(data[bounds[low] : bounds[high]], bounds[low + 1 : high + 1] - bounds[low])
+                low = high
         finally:
             if collects:
                 gc.enable()
 
-    def _encode_blocks(self, texts: Iterable[str]) -> Iterator:
-        block, size = [], 0
-        for text in texts:
-            block.append(text.encode("utf-8", "replace"))
-            size += len(block[-1])
-            if size >= BLOCK_BYTES:
-                yield from self._encode_block(block)
-                block, size = [], 0
-        if block:
-            yield from self._encode_block(block)
-
-    def _encode_block(self, block: list[bytes]) -> Iterator:
+    def _encode_block(self, data, ends) -> Iterator:
         """Words are told apart by length and a 64-bit hash; only those not seen before are split and merged."""
         import numpy as np
 
-        data = np.frombuffer(b"".join(block), np.uint8)
-        ends = np.cumsum([len(text) for text in block])
         starts = word_starts(data, ends)
         stops = np.append(starts[1:], len(data))
         names, first, back = np.unique(word_names(data, starts, stops), return_index=True, return_inverse=True)
-        ids = self._remember(names.tolist(), zip(starts[first].tolist(), stops[first].tolist(), strict=True), data.data)
+        ids = self._remember(names.tolist(), starts[first], stops[first], data.data)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
-        begins = np.cumsum(sizes) - sizes
-        each = sizes[back]
-        after = np.cumsum(each)
-        out = flat[np.repeat(begins[back] - after + each, each) + np.arange(after[-1] if len(after) else 0)]
-        bounds = np.append(0, after)[np.searchsorted(starts, np.append(0, ends))]
+        out = spread(flat, np.cumsum(sizes) - sizes, sizes, back)
+        after = np.append(0, np.cumsum(sizes[back]))
+        bounds = after[np.searchsorted(starts, np.append(0, ends))]
         for a, b in zip(bounds, bounds[1:], strict=False):
             yield out[a:b]
 
-    def _remember(self, names: list[int], places: Iterable[tuple[int, int]], data: memoryview) -> list[tuple]:
+    def _remember(self, names: list[int], starts, stops, data: memoryview) -> list[tuple]:
+        """Ids of the words of these names; words are read from ``data`` only where their name is new."""
         if len(self.known) + len(names) > CACHE_ENTRIES:
             self.known = {name: self.known[name] for name in names if name in self.known}
         known = self.known
-        new = {name: str(data[a:b], "utf-8") for name, (a, b) in zip(names, places, strict=True) if name not in known}
+        found = list(map(known.get, names))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        words = [str(data[a:b], "utf-8") for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
         split = self._tools()[0]
         # Letters alone, or after one space, are a pre-token wherever the pattern takes them so.
         plain = split(" ab") == [" ab"] and split("ab") == ["ab"]
-        whole = {name: word for name, word in new.items() if plain and (word.isalpha() or word[0] == " " and word[1:].isalpha())}
-        parts = {name: split(word) for name, word in new.items() if name not in whole}
-        ids = self._learn(list(set(chain(whole.values(), chain.from_iterable(parts.values())))))
-        known.update(zip(whole, map(ids.__getitem__, whole.values()), strict=True))
-        for name, pieces in parts.items():
-            known[name] = ids[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, pieces)))
-        return list(map(known.__getitem__, names))
+        parts = {w: split(w) for w in words if not (plain and (w.isalpha() or w[0] == " " and w[1:].isalpha()))}
+        pieces = set(chain.from_iterable(parts.values()))
+        pieces.update(w for w in words if w not in parts)
+        ids = self._learn(list(pieces))
+        for word, several in parts.items():
+            if len(several) != 1:
+                ids[word] = tuple(chain.from_iterable(map(ids.__getitem__, several)))
+        for i, word in zip(new, words, strict=True):
+            found[i] = known[names[i]] = ids[word]
+        return found
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_many([text])).tolist()
@@ -210,6 +215,15 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def spread(flat, begins, sizes, rows):
+    """The runs ``flat[begins[r] : begins[r] + sizes[r]]`` of all rows, joined."""
+    import numpy as np
+
+    each = sizes[rows]
+    after = np.cumsum(each)
+    return flat[np.repeat(begins[rows] - after + each, each) + np.arange(after[-1] if len(after) else 0)]
+
+
 def word_starts(data, ends):
     """Where words of joined texts start: places where every pattern of this family starts a pre-token.
 
@@ -287,10 +301,14 @@ def encoder(spark: SparkSession, codec: Codec):
         import numpy as np
         import pyarrow as pa
 
-        codec, rows, ends = shared.value, [], [0]
-        for ids in codec.encode_many(text.as_py() or "" for text in texts):
-            rows.append(ids)
-            ends.append(ends[-1] + len(ids))
+        texts = texts.fill_null("")
+        if not len(texts):
+            return pa.array([], pa.list_(pa.int32()))
+        bounds = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)
+        bounds = bounds[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        rows = list(shared.value.encode_bytes(data, bounds))
+        ends = np.cumsum([0, *map(len, rows)])
         values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
@@ -303,14 +321,18 @@ def decoder(spark: SparkSession, codec: Codec):
 
     @F.arrow_udf("binary")
     def decode(column):
+        import numpy as np
         import pyarrow as pa
 
-        look_up, out = shared.value.__getitem__, []
+        tokens = shared.value
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        flat, begins = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes
         values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
         if len(values) and values.min() < 0:
             raise ValueError("ids must not be negative")
+        out = []
         for start, end, valid in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False):
-            out.append(b"".join(map(look_up, values[start:end].tolist())) if valid else None)
+            out.append(spread(flat, begins, sizes, values[start:end]).tobytes() if valid else None)
         return pa.array(out, pa.binary())
 
     return decode
