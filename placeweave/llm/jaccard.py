@@ -21,7 +21,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeweave.llm.graph import components
-from placeweave.llm.store import Shared, small_batches, store, text_of
+from placeweave.llm.store import Shared, release, small_batches, store, text_of
 from placeweave.operators.sizing import BroadcastLimit
 
 BLOCK = 1 << 20
@@ -164,6 +164,7 @@ def shingle_counts(docs: DataFrame, settings: Settings, text: str = "text"):
     def count(batches):
         import pyarrow as pa
 
+        release()
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for _, texts in _texts(batch):
@@ -243,6 +244,7 @@ class Sets:
             import numpy as np
             import pyarrow as pa
 
+            release()
             # Few texts at a time: a batch's sets together would be many times a task's share of memory.
             for batch in batches:
                 for _, texts in _texts(batch, step=128):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 
 from pyspark import cloudpickle
@@ -38,6 +39,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(BATCH, str(rows))
 
 
+def release() -> None:
+    """Free what earlier tasks of a reused Python worker left: their functions hold each other, so only a collection does."""
+    gc.collect()
+
+
 class Shared:
     """A broadcast of any object of bounded size; classes travel with it, and a task opens it once."""
 
@@ -51,5 +57,6 @@ class Shared:
     @property
     def value(self):
         if not self.opened:
+            release()
             self.opened.append(pickle.loads(self.held.value))
         return self.opened[0]
