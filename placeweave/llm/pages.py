@@ -158,8 +158,12 @@ class Tree(HTMLParser):
 
 
 def parse(html: str | None) -> list[Node]:
-    tree = Tree()
-    tree.feed(html or "")
+    tree, html = Tree(), html or ""
+    # A page cut off inside a tag ends before that tag.
+    last = html.rfind("<")
+    if last >= 0 and ">" not in html[last:] and html[last + 1 : last + 2] and (html[last + 1].isalpha() or html[last + 1] in "/!"):
+        html = html[:last]
+    tree.feed(html)
     tree.close()
     tree._flush()
     return tree.nodes
