@@ -3,7 +3,7 @@
 Shingles are 64-bit hashes of three words, ordered by how many documents hold them (a sketch of counts over all
 documents), rarest first. Sets that reach the threshold must share a shingle among the first of either, the prefix.
 Equal sets are one document; documents of equal prefix and size are one group, and only groups meet by prefix shingle.
-Group pairs that pass the bounds on size and place are expanded to members, whose whole sets are compared.
+Group pairs that pass bounds true of all their members are expanded to members, whose whole sets are compared.
 
 Only links between different components matter, so every list of groups is first held against one of its own (its hub);
 what then still is in different components is compared pair by pair. Nothing is skipped and no list is capped.
@@ -332,28 +332,46 @@ def _folded(settings: Settings) -> list[Column]:
     return [reduce(lambda x, y: x.bitwiseXOR(y), part).alias(f"s{i}") for i, part in enumerate(parts)]
 
 
+def _apart(a: list, b: list) -> Column:
+    """How many bits differ between two folded signatures."""
+    return reduce(lambda x, y: x + y, [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True)])
+
+
+def _near(apart: Column, na: Column, nb: Column, settings: Settings) -> Column:
+    """Whether sets of two sizes that differ in ``apart`` shingles or more can reach the threshold."""
+    return (100 + settings.percent) * apart <= (100 - settings.percent) * (na + nb)
+
+
 def _cross_pairs(entries: DataFrame, members: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
     """Member pairs of all group pairs that may be alike and are not yet of one component.
 
-    The bounds are part of the join's condition, folded signatures too: what cannot be alike is never a row.
+    The bounds are part of the joins' conditions, folded signatures too: what cannot be alike is never a row. Members of a
+    group share prefix and size only, so groups are told apart by the bits in which all members of either agree, and then
+    members by their own bits.
     """
-    purity = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    rows = store(entries.drop("label").join(purity, "g"), "rows")
+    marks = [f"s{i}" for i in range(FOLDS)]
+    members = store(members.join(reps.select("v", "n", *_folded(settings)), "v"), "marked")
+    agreed = [agg(m).alias(f"{m}_{name}") for m in marks for name, agg in (("all", F.bit_and), ("any", F.bit_or))]
+    purity = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *agreed)
+    bits = [f"{m}_{name}" for m in marks for name in ("all", "any")]
+    purity = store(purity, "purity")
+    rows = store(entries.drop("label").join(purity.select("g", "lo", "hi"), "g"), "rows")
     live = rows.groupBy("shingle").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).filter("x <> y").select("shingle")
     rows = rows.join(store(live, "live"), "shingle", "left_semi").withColumn("bucket", _bucket("n", 0.0, settings))
-    rows = store(rows.join(reps.select(F.col("v").alias("g"), *_folded(settings)), "g"), "open")
-    marks = [f"s{i}" for i in range(FOLDS)]
+    rows = store(rows.join(purity.select("g", *bits), "g"), "open")
     both = F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket")
-    larger = rows.select("shingle", both, *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "i", "lo", "hi", *marks)))
+    larger = rows.select("shingle", both, *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "i", "lo", "hi", *bits)))
     order = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("g") < F.col("g_b")))
     pure = (F.col("lo") == F.col("hi")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo") == F.col("lo_b"))
     near = _possible(F.col("n"), F.col("i"), F.col("n_b"), F.col("i_b"), settings)
-    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in marks])
-    near &= (100 + settings.percent) * apart <= (100 - settings.percent) * (F.col("n") + F.col("n_b"))
+    # Bits that all members of one group have and none of the other: they differ in every pair of members.
+    lone = [F.bit_count(F.col(f"{m}_all{x}").bitwiseAND(F.bitwise_not(f"{m}_any{y}"))) for m in marks for x, y in (("", "_b"), ("_b", ""))]
+    near &= _near(reduce(lambda x, y: x + y, lone), F.col("n"), F.col("n_b"), settings)
     met = rows.join(larger, ["shingle", "bucket"]).filter(order & ~pure & near).select("g", "g_b").distinct()
-    a = members.select("g", F.col("v").alias("a"), F.col("label").alias("label_a"))
-    b = members.select(F.col("g").alias("g_b"), F.col("v").alias("b"), F.col("label").alias("label_b"))
-    return store(met, "met").join(a, "g").join(b, "g_b").filter("label_a <> label_b").select("a", "b")
+    a, b = (members.select(F.col("g").alias(g), *(F.col(c).alias(f"{c}_{x}") for c in ("v", "label", "n", *marks))) for g, x in (("g", "a"), ("g_b", "b")))
+    apart = _apart([F.col(f"{m}_a") for m in marks], [F.col(f"{m}_b") for m in marks])
+    near = (F.col("label_a") != F.col("label_b")) & _near(apart, F.col("n_a"), F.col("n_b"), settings)
+    return store(met, "met").join(a, "g").join(b, "g_b").filter(near).select(F.col("v_a").alias("a"), F.col("v_b").alias("b"))
 
 
 def _group_pairs(members: DataFrame) -> DataFrame:

@@ -90,6 +90,23 @@ def test_jaccard_components_equal_brute_force(spark, limit):
     assert sorted((tuple(x) for x in got.collect()), key=repr) == brute_components(ids, texts)
 
 
+def test_jaccard_links_of_members_that_are_not_their_groups_head(spark):
+    # Nine shingles have a prefix of one; here it is the same in texts that are otherwise unlike, each with a near copy.
+    r = random.Random(11)
+    start, texts = ["start", "of", "all"], []
+    for _ in range(6):
+        rest = random_words(r, 8)
+        texts += [" ".join(start + rest), " ".join([*start, *rest, *random_words(r, 1)])]
+        texts += [" ".join([*start[1:], *rest, *random_words(r, 20)]) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    settings = jaccard.Settings()
+    every = jaccard.prefixes(df, jaccard.shingle_counts(df, settings), settings, "doc_id", "text").filter("n = 9")
+    assert every.count() == 6 and every.select("prefix").distinct().count() == 1
+    want = brute_components(list(range(len(texts))), texts)
+    assert sum(i != c for i, _, c in want) == 6
+    assert sorted((tuple(x) for x in jaccard.near_components(df).collect()), key=repr) == want
+
+
 def test_jaccard_of_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b c d")] * 3 + [(2, "a b c d")] * 2, "doc_id long, text string")
     assert sorted(tuple(x) for x in jaccard.near_components(df).collect()) == [(1, 2, 1)] * 3 + [(2, 2, 1)] * 2
