@@ -19,12 +19,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.filter(quality.scorer(docs, model)(docs["text"]) >= queries.QUALITY_LEAST)
 
 
+#: Near copies of a corpus: 80 of 100 shingles of five words. The query op9 keeps its own, tighter threshold.
+NEAR = jaccard.Settings(percent=80, words=5)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the least id. Rows without an id, or alone, stay.
 
     Rows that repeat the id kept are the same document to the rest of a corpus; all of them stay.
     """
-    found = jaccard.near_components(docs.select("doc_id", "text"))
+    found = jaccard.near_components(docs.select("doc_id", "text"), NEAR)
     dropped = store(found.filter("id <> component").select(F.col("id").alias("doc_id")).distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
 

@@ -1,6 +1,6 @@
 """N-gram Jaccard join by grouped prefixes: exact components of documents whose shingle sets are alike.
 
-Shingles are 64-bit hashes of three words, ordered by how many documents hold them (a sketch of counts over all
+Shingles are 64-bit hashes of three words (or as many as the settings say), ordered by how many documents hold them (a sketch of counts over all
 documents), rarest first. Sets that reach the threshold must share a shingle among the first of either, the prefix.
 Equal sets are one document; documents of equal prefix and size are one group, and only groups meet by prefix shingle.
 Group pairs that pass bounds true of all their members are expanded to members, whose whole sets are compared.

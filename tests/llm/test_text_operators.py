@@ -392,3 +392,26 @@ def test_stages(spark, docs_of, tmp_path):
         assert x["n_tokens"] == len(x["ids"])
     for name in by:
         assert after(name, docs.limit(0)).count() == 0
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark, docs_of, tmp_path):
+    r, texts = random.Random(21), []
+    for _ in range(12):
+        base = random_words(r, 100)
+        texts.append(base)
+        for edits in (1, 2, 3, 5):
+            words = list(base)
+            for k in r.sample(range(100), edits):
+                words[k] = "changed"
+            texts.append(words)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            root[i] = min([root[i]] + [root[j] for j, b in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b)])
+    tight = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in texts]
+    alone = [i for i, a in enumerate(tight) if root[i] != i and not any(100 * len(a & b) >= 90 * len(a | b) for j, b in enumerate(tight) if j != i)]
+    assert alone
+    docs = docs_of(spark, [(i, " ".join(w)) for i, w in enumerate(texts)])
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, str(tmp_path))
+    assert sorted(x["doc_id"] for x in kept.collect()) == [i for i in range(len(texts)) if root[i] == i]
