@@ -168,6 +168,18 @@ def test_vectors_of_empty_tables_and_repeated_rows(spark):
     assert covertree.near_copies(df.limit(0)).count() == 0
 
 
+def test_vectors_without_ids_name_no_component(spark):
+    big = 2**53 + 1
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    near = [1.0, 0.05, 0.0]
+    rows = [(None, a), (7, near), (9, [1.0, 0.0, 0.05]), (None, b), (None, [0.05, 1.0, 0.0]), (big, c), (big + 1, [0.05, 0.0, 1.0]), (None, None)]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = [tuple(x) for x in covertree.near_copies(df).collect()]
+    want = [(None, 2, 7, False), (7, 2, 7, True), (9, 2, 7, False), (None, 1, None, True), (None, 1, None, True)]
+    want += [(big, 1, big, True), (big + 1, 1, big, False), (None, 0, None, True)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_cover_tree_levels_are_nested_and_halve():
     r = np.random.default_rng(5)
     points = r.standard_normal((300, 6))
