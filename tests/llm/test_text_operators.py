@@ -113,6 +113,37 @@ def test_repeats_equal_brute_force(spark):
             assert x["text"] == text or x["removed"]
 
 
+def test_repeats_inside_lines_equal_a_search_of_all_windows(spark):
+    r = random.Random(31)
+    passages = [random_words(r, n) for n in (49, 50, 51, 87, 240)]
+    docs = []
+    for i in range(60):
+        words = random_words(r, r.choice([5, 60, 150]))
+        for _ in range(r.choice([0, 1, 1, 2])):
+            at = r.randint(0, len(words))
+            words[at:at] = [w.upper() if r.random() < 0.1 else w for w in r.choice(passages)]
+        docs.append((i, "".join(w + r.choice([" "] * 30 + ["\n", "  ", "\u00a0"]) for w in words)))
+    docs += [(100, "again " * 170), (101, " ".join(random_words(r, 9) * 30)), (102, None), (103, "é " * 49), (104, " ".join(random_words(r, 60) * 4))]
+    lists = {i: [w.lower() for w in (t or "").split()] for i, t in docs}
+    first, want = {}, {}
+    for i, words in lists.items():
+        gone, last = set(), {}
+        for at in range(len(words) - 49):
+            key = tuple(words[at : at + 50])
+            before, again = last.get(key, (at, False))
+            last[key] = (at, again or at - before >= 50)
+            if first.setdefault(key, i) != i or last[key][1]:
+                gone.update(range(at, at + 50))
+        want[i] = gone
+    got = repeats.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert sum(map(len, want.values())) > 1000 and len(got) == len(docs)
+    for x in got:
+        text = dict(docs)[x["doc_id"]] or ""
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        assert {k for k, (a, b) in enumerate(spans) if any(s <= a and b <= e for s, e in x["removed"])} == want[x["doc_id"]]
+        assert x["text"].lower().split() == [w for k, w in enumerate(lists[x["doc_id"]]) if k not in want[x["doc_id"]]]
+
+
 def test_repeated_rows_and_empty_tables(spark):
     schema = "doc_id long, text string"
     line = " ".join(f"w{i}" for i in range(60))
