@@ -11,6 +11,7 @@ A null or empty page has empty text; a page cut off anywhere is read as far as i
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -216,11 +217,11 @@ def features(nodes: list[Node]):
         if node.tag in spots:
             inside[i, spots[node.tag]] = True
         if node.kids:
-            tags = [nodes[k].tag for k in node.kids]
+            tags = Counter(nodes[k].tag for k in node.kids)
             most = max(text[k] for k in node.kids)
             for at, k in enumerate(node.kids):
                 place[k] = at / max(1, len(node.kids) - 1)
-                same[k] = tags.count(tags[at]) / len(tags) if len(tags) < 64 else 1.0
+                same[k] = tags[nodes[k].tag] / len(node.kids)
                 best[k] = text[k] / max(1.0, most)
     parent = np.array([max(0, x.parent) for x in nodes])
     safe = np.maximum(text, 1)

@@ -231,6 +231,14 @@ def test_a_page_by_hand(spark, forest):
     assert pages.extract_pages(df.limit(0), forest).count() == 0
 
 
+def test_share_of_sibling_tags_is_true_at_every_size():
+    for n in (10, 100):
+        nodes = [pages.Node("body", -1, 0)] + [pages.Node("p" if i else "heading", 0, 1) for i in range(n)]
+        nodes[0].kids.extend(range(1, n + 1))
+        same = pages.features(nodes)[1:, pages.NAMES.index("same")]
+        assert np.allclose(same, [1 / n] + [(n - 1) / n] * (n - 1))
+
+
 def test_decoding_is_the_best_consistent_labelling():
     import itertools
     import math
