@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from placeweave.llm import bpe, chat, covertree, jaccard, leaks, ledger, pages, quality, repeats, shards
+from placeweave.llm import bpe, chat, covertree, jaccard, leaks, ledger, pages, prefixhash, quality, repeats, shards, variants, zonemaps
 from placeweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from placeweave.llm.store import table
 
@@ -213,3 +213,54 @@ def op6_boosted_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of near copies among the vectors of a label."""
     return covertree.near_copies(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query()
+def op11_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they and the next text's are."""
+    return prefixhash.with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _cluster_sql(rounds: int = 10) -> str:
+    """Rounds written out one after the other, over one row for each vector and component."""
+    parts = [
+        """kept AS (SELECT row_number() OVER () AS row_id, vec_id, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = 64)""",
+        """x AS MATERIALIZED (SELECT row_id, dim, CAST(floor(1024 * CAST(embedding[dim] AS DOUBLE)) AS BIGINT) AS v
+  FROM kept, range(1, 65) AS r(dim))""",
+        """seed AS (SELECT row_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster FROM kept)""",
+        "c0 AS MATERIALIZED (SELECT cluster, dim, v AS c FROM seed JOIN x USING (row_id) WHERE cluster < 8)",
+    ]
+    for k in range(rounds + 1):
+        parts.append(
+            f"""a{k} AS MATERIALIZED (SELECT row_id, cluster, d FROM (
+    SELECT row_id, cluster, sum((v - c) * (v - c)) AS d FROM x JOIN c{k} USING (dim) GROUP BY row_id, cluster)
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY d, cluster) = 1)"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""m{k} AS (SELECT cluster, dim, sum(v) AS s, count(*) AS n FROM a{k} JOIN x USING (row_id) GROUP BY cluster, dim)"""
+            )
+            parts.append(
+                f"""c{k + 1} AS MATERIALIZED (SELECT o.cluster, o.dim, CAST(CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS c
+  FROM c{k} o LEFT JOIN m{k} m ON o.cluster = m.cluster AND o.dim = m.dim)"""
+            )
+    return f"""WITH {", ".join(parts)},
+told AS (SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster),
+sums AS (SELECT cluster, sum(d) AS s FROM a{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(s AS BIGINT) AS cluster_inertia,
+  CAST((SELECT sum(s) FROM sums) AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (row_id) JOIN told USING (cluster) JOIN sums USING (cluster)"""
+
+
+@query(_cluster_sql())
+def op12_zone_map_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    return zonemaps.clustered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its near words' number, its form and the form that this leads to in the end."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
