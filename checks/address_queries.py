@@ -16,7 +16,7 @@ from placeweave.sources.canonical import read_canonical, write_canonical
 from placeweave.sources.geojson import scan_feature_lines as read_feature_lines, scan_features
 
 from . import expected as X
-from .inputs import address_features, written_features
+from .inputs import address_features, compact_features, written_features
 from .registry import query
 
 BUCKET = r"bucket=(\d+)/"
@@ -55,6 +55,23 @@ def scan_geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT CAST(floor(k / 500) AS BIGINT) AS bucket, CAST(row_number() OVER (PARTITION BY floor(k / 500) ORDER BY k) - 1 AS INT) AS pos,
+  easting, CASE WHEN lon IS NOT NULL THEN CASE WHEN k % 3 = 1 THEN 'MultiPoint' ELSE 'Point' END END AS geometry_type
+  FROM ({X.PREMISES})"""
+)
+def scan_features_any_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents on one line and documents with indented items, cut into records by the structural index."""
+    features = read_feature_lines(spark, compact_features(spark, sf_dir) + "/*/*.txt", layout="any")
+    in_file = Window.partitionBy("path").orderBy("block", "pos")
+    return features.select(
+        F.regexp_extract("path", BUCKET, 1).cast("bigint").alias("bucket"),
+        (F.row_number().over(in_file) - 1).alias("pos"),
+        F.get_json_object("properties", "$.Easting").cast("double").alias("easting"),
+        F.col("geometry.type").alias("geometry_type"),
+    )
+
+
 @query(f"SELECT k, lon, lat FROM ({X.PREMISES})")
 def feature_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     lon, lat = A.point_of(F.col("coords"))

@@ -403,9 +403,8 @@ def as_collection(items: DataFrame, head: str, tail: str) -> DataFrame:
     return body.unionByName(opening).unionByName(closing)
 
 
-def written_features(spark: SparkSession, sf_dir: str) -> str:
-    """Feature collections on disk, ``FEATURES_PER_FILE`` features each, in ``k`` order."""
-    feature = F.concat(
+def _feature_text() -> Column:
+    return F.concat(
         F.lit('{"type":"Feature","geometry":'),
         F.coalesce(
             F.concat(F.lit('{"type":"'), F.col("geometry.type"), F.lit('","coordinates":'), F.col("geometry.coordinates"), F.lit("}")),
@@ -415,6 +414,11 @@ def written_features(spark: SparkSession, sf_dir: str) -> str:
         F.col("properties"),
         F.lit("}"),
     )
+
+
+def written_features(spark: SparkSession, sf_dir: str) -> str:
+    """Feature collections on disk, ``FEATURES_PER_FILE`` features each, in ``k`` order."""
+    feature = _feature_text()
     items = address_features(spark, sf_dir).select(
         F.format_string("%09d", F.floor(F.col("k") / FEATURES_PER_FILE)).alias("bucket"),
         (F.col("k") % FEATURES_PER_FILE).alias("pos"),
@@ -431,3 +435,41 @@ def written_elements(spark: SparkSession, sf_dir: str) -> str:
         F.to_json(F.struct("type", "id", "lat", "lon", "center", "tags")).alias("item"),
     )
     return write_documents(as_collection(items, '{"elements":[', "]}"), "elements")
+
+
+PER_COMPACT_FILE = 500
+
+
+def compact_documents(items: DataFrame, member: str) -> DataFrame:
+    """``items(bucket, pos, item)`` -> one document per bucket: even buckets on one line, odd ones with items indented by
+    eight spaces, and each with another list of objects beside the wanted one."""
+    texts = F.array_sort(F.collect_list(F.struct("pos", "item")))
+    whole = items.groupBy("bucket").agg(F.transform(texts, lambda t: t["item"]).alias("texts"))
+    one_line = F.concat(
+        F.lit(f'{{"links":[{{"type":"node","{member}":[{{}}]}}],"{member}":['), F.array_join("texts", ","), F.lit('],"note":{"a":["}"]}}')
+    )
+    printed = F.concat(
+        F.lit(f'{{\n    "name": "a \\"}}{{[",\n    "{member}": [\n        '),
+        F.array_join("texts", ",\n        "),
+        F.lit("\n    ]\n}\n"),
+    )
+    line = F.when(F.col("bucket").cast("int") % 2 == 0, one_line).otherwise(printed)
+    return whole.select("bucket", F.lit(0).cast("long").alias("pos"), line.alias("line"))
+
+
+def compact_features(spark: SparkSession, sf_dir: str) -> str:
+    items = address_features(spark, sf_dir).select(
+        F.format_string("%09d", F.floor(F.col("k") / PER_COMPACT_FILE)).alias("bucket"),
+        (F.col("k") % PER_COMPACT_FILE).alias("pos"),
+        _feature_text().alias("item"),
+    )
+    return write_documents(compact_documents(items, "features"), "compact-features")
+
+
+def compact_elements(spark: SparkSession, sf_dir: str) -> str:
+    items = place_elements(spark, sf_dir).withColumn("ord", F.col("id") - 10_000_000_000).select(
+        F.format_string("%09d", F.floor(F.col("ord") / PER_COMPACT_FILE)).alias("bucket"),
+        (F.col("ord") % PER_COMPACT_FILE).alias("pos"),
+        F.to_json(F.struct("type", "id", "lat", "lon", "center", "tags")).alias("item"),
+    )
+    return write_documents(compact_documents(items, "elements"), "compact-elements")

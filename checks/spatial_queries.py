@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from placeweave.functions.osm import osm_area_id as area_id_of, osm_type_code as type_code_of
 from placeweave.operators import elements as E
@@ -11,11 +11,11 @@ from placeweave.operators.profile import sub_district_provenance as provenance_o
 from placeweave.plans import spatial_enrich as S
 from placeweave.plans.canonicalize import canonicalize as canonicalize_features
 from placeweave.plans.sub_district import derive_sub_district as derive_localities
-from placeweave.sources.osm import scan_elements
+from placeweave.sources.osm import scan_element_lines, scan_elements
 
 from . import expected as X
 from .inputs import (
-    ADMIN, PLACES, PREMISES, address_elements, address_features, admin_elements, building_elements, derive, osm_elements,
+    ADMIN, PLACES, PREMISES, address_elements, address_features, admin_elements, building_elements, compact_elements, derive, osm_elements,
     place_elements, table, written_elements,
 )
 from .registry import query
@@ -41,6 +41,27 @@ def scan_osm_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT 10000000000 + ord AS id, CASE WHEN ord % 4 = 0 THEN 'way' ELSE 'node' END AS type, lat, lon,
+   2 + 2 * CAST(name_zh IS NOT NULL AS INT) AS n_tags, CAST(floor(ord / 500) AS BIGINT) AS bucket,
+   CAST(row_number() OVER (PARTITION BY floor(ord / 500) ORDER BY ord) - 1 AS INT) AS pos
+  FROM ({X.PLACES})"""
+)
+def scan_elements_any_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps on one line and dumps with indented elements, cut into records by the structural index."""
+    found = scan_element_lines(spark, compact_elements(spark, sf_dir) + "/*/*.txt", layout="any")
+    in_file = Window.partitionBy("path").orderBy("block", "pos")
+    return found.select(
+        "id",
+        "type",
+        F.coalesce("lat", "center.lat").alias("lat"),
+        F.coalesce("lon", "center.lon").alias("lon"),
+        F.size("tags").alias("n_tags"),
+        F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("bigint").alias("bucket"),
+        (F.row_number().over(in_file) - 1).alias("pos"),
+    )
+
+
 @query(f"SELECT 10000000000 + ord AS id, lower(place) AS place FROM ({X.PLACES}) WHERE lower(place) IN {X.KINDS}")
 def filter_place_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.filter_place_types(osm_elements(spark, sf_dir)).select("id", "place")

@@ -4,7 +4,8 @@ A document of any size is cut where its layout says a record starts, so no task
 
 * ``line``: one record per line, other members of the document on lines of their own;
 * ``indent``: the document printed with two spaces a level, records starting at ``\\n    {``;
-* ``native``: records printed at the left margin, starting at ``\\n{``.
+* ``native``: records printed at the left margin, starting at ``\\n{``;
+* ``any``: any layout, one line included, through the structural index of ``blocks``, which reads the text three times.
 
 Every piece is either part of the document's frame or a record that reads as the wanted kind of object. Anything else is
 a reject: strict scans stop at it, others leave it to :func:`rejects`. Nothing is dropped without a word.
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .blocks import list_items
+
 SEPARATORS = {"line": "\n", "indent": "\n    {", "native": "\n{"}
 
 # Members that stand beside the list in a collection or dump, and the kinds of records.
@@ -24,6 +27,7 @@ FRAME = (
     "xy_coordinate_resolution totalFeatures numberMatched numberReturned timeStamp description license links"
 ).split()
 KINDS = {"feature": ("Feature",), "element": ("node", "way", "relation")}
+MEMBERS = {"feature": "features", "element": "elements"}
 
 _LIST_OPENS = r'(?s)"(features|elements)"\s*:\s*\[\s*(\].*)?$'
 # What follows the last record of a printed document.
@@ -59,6 +63,11 @@ def pieces(spark: SparkSession, paths: str | Sequence[str], kind: str, layout: s
     if not found:
         return spark.createDataFrame([], schema)
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    is_record = F.coalesce(F.try_variant_get(F.try_parse_json("json"), "$.type", "string").isin(*KINDS[kind]), F.lit(False))
+    if layout == "any":
+        rows = list_items(spark, reader(spark, recursive_glob), found, MEMBERS[kind])
+        part = F.when(F.col("whole") & is_record, "record").otherwise("reject")
+        return rows.select("path", "block", "pos", "json", part.alias("part"))
     text = reader(spark, recursive_glob).option("lineSep", SEPARATORS[layout]).text(found)
     raw = F.regexp_replace("value", r"(?s)^[\s,]+|[\s,]+$", "")
     if layout != "line":
@@ -70,7 +79,6 @@ def pieces(spark: SparkSession, paths: str | Sequence[str], kind: str, layout: s
         F.monotonically_increasing_id().alias("pos"),
         raw.alias("json"),
     )
-    is_record = F.coalesce(F.try_variant_get(F.try_parse_json("json"), "$.type", "string").isin(*KINDS[kind]), F.lit(False))
     return rows.withColumn("part", F.when(is_record, "record").when(_is_frame(F.col("json"), layout), "frame").otherwise("reject"))
 
 
@@ -87,9 +95,10 @@ def records(spark: SparkSession, paths, kind: str, layout: str = "line", recursi
     rows = pieces(spark, paths, kind, layout, recursive_glob)
     if not strict:
         return rows.filter("part = 'record'").drop("part")
+    # The check is a filter, so no choice of columns prunes it away.
     said = F.concat(F.lit("unreadable record in "), "path", F.lit(": "), F.substring("json", 1, 80))
-    checked = F.when(F.col("part") == "reject", F.raise_error(said).cast("string")).otherwise(F.col("json"))
-    return rows.filter("part <> 'frame'").select("path", "block", "pos", checked.alias("json"))
+    stop = F.when(F.col("part") == "reject", F.raise_error(said).cast("boolean")).otherwise(F.col("part") == "record")
+    return rows.filter(stop).drop("part")
 
 
 def rejects(spark: SparkSession, paths, kind: str, layout: str = "line", recursive_glob: str | None = None) -> DataFrame:

@@ -80,6 +80,91 @@ def test_feature_layouts_equal_the_whole_scan(spark, tmp_path):
             assert plain(content(got)) == plain(whole)
 
 
+@pytest.fixture(params=["1k", "6k", "128m"])
+def split(request, spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    yield request.param
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_any_layout_equals_the_whole_scan(spark, tmp_path, split):
+    items = elements(40)
+    items[6]["tags"]["long"] = 'x}{["\\' * 900  # a string of marks over several blocks
+    items[8]["members"] = [{"type": "way", "ref": i} for i in range(400)]  # a record over several blocks
+    whole = content(scan_elements(spark, write(tmp_path / "whole.json", json.dumps({"elements": items}))))
+    beside = {"links": [{"type": "node", "elements": [{"type": "node"}]}], "elements": items, "note": ["}", {"type": "way"}]}
+    texts = {
+        "one": json.dumps(beside),
+        "tight": json.dumps({"elements": items}, separators=(",", ":"), ensure_ascii=False),
+        "two": json.dumps(beside, indent=2) + "\n",
+        "four": json.dumps(beside, indent=4) + "\n\n",
+        "native": native(items),
+    }
+    paths = {name: write(tmp_path / f"{name}.json", text) for name, text in texts.items()}
+    got = scan_element_lines(spark, list(paths.values()), "any")
+    if split == "1k":
+        assert got.filter(f"pos = {2**61}").count() > 10 and got.select("block").distinct().count() > 20
+    rows = {}
+    for r in got.orderBy("path", "block", "pos").collect():
+        rows.setdefault(r["path"].rsplit("/", 1)[1], []).append(tuple(r)[3:])
+    assert rows == {f"{name}.json": whole for name in texts}
+    assert rejected_elements(spark, list(paths.values()), "any").count() == 0
+
+
+def test_any_layout_without_broadcast(spark, tmp_path, split):
+    from placeweave.operators.sizing import NEVER
+    from placeweave.sources.blocks import list_items
+    from placeweave.sources.records import reader
+
+    items = [{"a": i, "b": ["}" * (i % 7), {"c": [{}]}]} for i in range(150)]
+    path = write(tmp_path / "x.json", json.dumps({"elements": items}))
+    rows = list_items(spark, reader(spark), [path], "elements", NEVER).orderBy("block", "pos").collect()
+    assert all(r["whole"] for r in rows) and [json.loads(r["json"]) for r in rows] == items
+
+
+def test_any_layout_says_what_is_no_record(spark, tmp_path, split):
+    items = elements(30)
+    one = json.dumps({"elements": items})
+    texts = {
+        "cut": one[:-40],
+        "cut-after-a-record": one[:-2],
+        "cut-before-the-end": one[:-1],
+        "cut-in-a-string": one[: one.index("village", 2000)],
+        "stray": json.dumps({"elements": [*items, 7, "x}", None, [1]]}),
+        "wrong-kind": json.dumps({"elements": [*items, {"type": "other"}]}),
+        "no-comma": one.replace("}, {", "} ; {", 1),
+        "not-a-list": json.dumps({"elements": {"a": 1}}),
+    }
+    for name, text in texts.items():
+        path = write(tmp_path / f"{name}.json", text)
+        assert rejected_elements(spark, path, "any").count() > 0, name
+        with pytest.raises(Exception, match="unreadable record"):
+            scan_element_lines(spark, path, "any").count()
+    loose = scan_element_lines(spark, str(tmp_path / "stray.json"), "any", strict=False)
+    assert loose.count() == 30
+    for name, text in (("none", '{"elements":[]}'), ("absent", '{"other":[{"type":"node"}]}'), ("empty", ""), ("blank", '\n {"elements" : [ \n ] } \n')):
+        path = write(tmp_path / f"{name}.json", text)
+        assert scan_element_lines(spark, path, "any").count() == 0, name
+
+
+def test_strict_scans_stop_whatever_columns_are_asked_for(spark, tmp_path):
+    items = elements(5)
+    broken = [
+        ("indent", json.dumps({"elements": items}, indent=2)[:-60]),
+        ("line", lines(items)[:-60]),
+        ("line", json.dumps({"elements": items})),
+        ("native", json.dumps({"elements": items})),
+        ("any", json.dumps({"elements": items})[:-9]),
+    ]
+    for k, (layout, text) in enumerate(broken):
+        path = write(tmp_path / f"{k}.json", text)
+        for asked in (lambda df: df.count(), lambda df: df.select("path", "pos").collect(), lambda df: df.select("id").collect()):
+            with pytest.raises(Exception, match="unreadable record"):
+                asked(scan_element_lines(spark, path, layout))
+
+
 def test_wrong_layouts_and_broken_files_stop_the_scan(spark, tmp_path):
     items = elements(5)
     printed = write(tmp_path / "p.json", json.dumps({"elements": items}, indent=2))
