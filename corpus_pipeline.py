@@ -1,8 +1,9 @@
 """The corpus pipeline: quality, near copies, benchmark leaks, secrets, tokens. Each stage reads what the one before kept.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``, with
-whatever further columns ``docs`` has. Columns that a stage adds for its own work never clash with those: rows are told
-apart by their id and text only, and everything else is carried along untouched.
+whatever further columns ``docs`` has. Columns that a stage adds for its own work never clash with those, and everything
+else is carried along untouched. Null texts read as empty, texts of any length are read whole, rows that repeat are judged
+alike (near copies among them go), and an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -24,13 +25,25 @@ NEAR = jaccard.Settings(percent=80, words=5)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the least id. Rows without an id, or alone, stay.
+    """One document of each group of near copies: the least id, and of rows that share it the first one of the table.
 
-    Rows that repeat the id kept are the same document to the rest of a corpus; all of them stay.
+    Rows are told apart by their number in ``docs``, so rows that share an id are judged each by its own text, and rows
+    without an id, which come after all others, are deduplicated too. ``docs`` must read the same each time: files or a
+    stored table. An empty table stays empty; texts without words are never near copies.
     """
-    found = jaccard.near_components(docs.select("doc_id", "text"), NEAR)
-    dropped = store(found.filter("id <> component").select(F.col("id").alias("doc_id")).distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    row = "row_number"
+    while row in docs.columns:
+        row += "_"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    texts = numbered.select(F.col(row).alias("row"), "doc_id", "text")
+    found = jaccard.near_components(texts.select("row", "text"), NEAR, doc_id="row").filter("id <> component")
+    found = store(found.select("id", "component"), "copies")
+    members = found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
+    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", F.col("row").alias("kept"))
+    named = store(members.join(texts.select("row", "doc_id"), F.col("id") == F.col("row")), "members")
+    best = store(named.groupBy("component").agg(F.min(order)["kept"].alias("kept")), "kept")
+    dropped = store(named.join(best, "component").filter("id <> kept").select(F.col("id").alias(row)), "dropped")
+    return numbered.join(dropped, row, "left_anti").select(*[numbered[c] for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

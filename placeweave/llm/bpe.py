@@ -3,6 +3,10 @@
 Every byte is mapped to a visible character, every token becomes a piece whose score is the negative of its rank, and
 normalisation is the identity, so the best-scored merge is always the one of the lowest rank. Texts are cut by a pattern
 first and each pre-token is encoded alone; decoding looks the bytes of each id up.
+
+Results for edge cases: a null or empty text has no ids; texts of any length are encoded whole; rows that repeat are encoded
+each; every other column stays, one that has the name of the new column is replaced; an empty table gives an empty one.
+Null ids decode to null, an id outside the vocabulary stops the job.
 """
 
 from __future__ import annotations
@@ -12,7 +16,6 @@ import gc
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +27,8 @@ from placeweave.llm.store import Shared
 CACHE_ENTRIES = 300_000
 BLOCK_BYTES = 1_500_000
 WORDS_AT_ONCE = 50_000
+#: Bytes of a word that are hashed by table; longer words are digested one by one.
+SHORT = 64
 
 # Letters and digits of later Unicode versions than 16, which the rank files' own splitter does not know.
 LATER_THAN_UNICODE_16 = """
@@ -113,9 +118,14 @@ class Codec:
     model: bytes
     pattern: str
     known: dict = field(default_factory=dict)
+    tools: tuple = ()
 
-    @lru_cache(maxsize=1)  # noqa: B019  one codec per task
     def _tools(self):
+        if not self.tools:
+            self.tools = self._opened()
+        return self.tools
+
+    def _opened(self):
         import sentencepiece
 
         letters = byte_letters()
@@ -123,15 +133,12 @@ class Codec:
         whole = {"".join(letters[b] for b in token): rank for rank, token in enumerate(self.tokens)}
         return splitter(self.pattern), processor, whole, {b: letters[b] for b in range(256)}
 
-    def __hash__(self):
-        return id(self)
-
     def __getstate__(self):
         return self.tokens, self.model, self.pattern
 
     def __setstate__(self, state):
         self.tokens, self.model, self.pattern = state
-        self.known = {}
+        self.known, self.tools = {}, ()
 
     def _learn(self, pieces: list[str]) -> dict[str, tuple]:
         """Ids of pre-tokens: a pre-token that is itself a token is that token, the rest are merged."""
@@ -171,7 +178,7 @@ class Codec:
                 gc.enable()
 
     def _encode_block(self, data, ends) -> Iterator:
-        """Words are told apart by length and a 64-bit hash; only those not seen before are split and merged."""
+        """Words of a block are told apart by length and a 64-bit hash; only those not seen before are split and merged."""
         import numpy as np
 
         starts = word_starts(data, ends)
@@ -190,9 +197,13 @@ class Codec:
         """Ids of the words of these names; words are read from ``data`` only where their name is new."""
         if len(self.known) + len(names) > CACHE_ENTRIES:
             self.known = {name: self.known[name] for name in names if name in self.known}
-        known = self.known
-        found = list(map(known.get, names))
-        new = [i for i, ids in enumerate(found) if ids is None]
+        known, found, new = self.known, [], []
+        for i, (name, a, b) in enumerate(zip(names, starts.tolist(), stops.tolist(), strict=True)):
+            held = known.get(name)
+            # A word's bytes are kept beside its ids: an equal name alone is no proof.
+            found.append(held[1] if held and held[0] == data[a:b] else None)
+            if found[-1] is None:
+                new.append(i)
         words = [str(data[a:b], "utf-8") for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
         split = self._tools()[0]
         # Letters alone, or after one space, are a pre-token wherever the pattern takes them so.
@@ -205,7 +216,8 @@ class Codec:
             if len(several) != 1:
                 ids[word] = tuple(chain.from_iterable(map(ids.__getitem__, several)))
         for i, word in zip(new, words, strict=True):
-            found[i] = known[names[i]] = ids[word]
+            found[i] = ids[word]
+            known[names[i]] = word.encode(), ids[word]
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -254,37 +266,37 @@ def word_starts(data, ends):
 
 
 def word_names(data, starts, stops):
-    """A 64-bit hash of each word, its length mixed in: sums of random numbers by byte, weighted by powers of an odd base."""
+    """A 64-bit hash of each word: independent random numbers for its bytes by place, added up; long words are digested."""
+    from hashlib import blake2b
+
     import numpy as np
 
-    random, powers, inverse = _hash_tables()
-    out, step = np.empty(len(starts), np.uint64), len(powers) - 1
+    random, out = _hash_table(), np.empty(len(starts), np.uint64)
     for low in range(0, len(starts), WORDS_AT_ONCE):
         a, b = starts[low : low + WORDS_AT_ONCE], stops[low : low + WORDS_AT_ONCE]
-        if b[-1] - a[0] > step:
-            from hashlib import blake2b
-
-            out[low : low + len(a)] = [int.from_bytes(blake2b(data[x:y].tobytes(), digest_size=8).digest(), "little") for x, y in zip(a, b, strict=True)]
-            continue
-        part = data[a[0] : b[-1]]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(random[part] * powers[: len(part)], out=sums[1:])
-        x = (sums[b - a[0]] - sums[a - a[0]]) * inverse[a - a[0]] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        sizes = b - a
+        place = np.arange(a[0], b[-1], dtype=np.int64)
+        place -= np.repeat(a, sizes)
+        np.minimum(place, SHORT - 1, out=place)
+        place <<= 8
+        place += data[a[0] : b[-1]]
+        x = np.add.reduceat(random[place], a - a[0]) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            x[i] = int.from_bytes(blake2b(data[a[i] : b[i]], digest_size=8).digest(), "little")
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
         out[low : low + len(a)] = x ^ (x >> np.uint64(29))
     return out
 
 
-@lru_cache(maxsize=1)
-def _hash_tables():
+_MADE: dict = {}
+
+
+def _hash_table():
     import numpy as np
 
-    size = 1 << 20
-    random = np.random.default_rng(50257).integers(0, 2**64, 256, np.uint64)
-    base = 0x9E3779B97F4A7C15
-    powers, inverse = np.full(size + 1, base, np.uint64), np.full(size + 1, pow(base, -1, 2**64), np.uint64)
-    powers[0] = inverse[0] = 1
-    return random, np.multiply.accumulate(powers), np.multiply.accumulate(inverse)
+    if not _MADE:
+        _MADE["random"] = np.random.default_rng(50257).integers(0, 2**64, SHORT * 256, np.uint64)
+    return _MADE["random"]
 
 
 def load(path: str, pattern: str) -> Codec:

@@ -4,7 +4,9 @@ Adjacent turns of one role share a block and are parted by a seam mark, so every
 text is escaped by one more backslash after its ``<``; nothing else in a text changes.
 
 Turns sort by (turn, role, text), nulls first, and repeated rows are turns of their own. A null text or role is empty.
-A row without a conversation id belongs to no other row: it is a conversation of one turn with a null id.
+A row without a conversation id belongs to no other row: it is a conversation of one turn with a null id. A conversation is
+formatted in one task, as its output is one string. Columns beside the four named are not read, whatever their names; an
+empty table has no conversations.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ def _header(role: Column) -> Column:
 
 
 def _role(header: Column) -> Column:
-    plain = F.replace(unescape(header), F.lit("\\\\"), F.lit("\0"))
-    return F.replace(F.replace(plain, F.lit("\\n"), F.lit("\n")), F.lit("\0"), F.lit("\\"))
+    """Pairs of backslashes are backslashes; what lies between them holds escaped line breaks only."""
+    parts = F.split(unescape(header), r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def merged_blocks(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,21 +40,25 @@ class Settings:
     turns: int = 4
 
 
-@lru_cache(maxsize=1)
+#: Bytes of a word that are hashed by table; longer words are digested one by one.
+SHORT = 64
+
+_MADE: dict = {}
+
+
 def _tables():
-    """Lower-casing, white space, a random number for each byte, and powers of an odd base with their inverses."""
+    """Lower-casing, white space, and a random number for each byte at each of the first places of a word; made once a task."""
     import numpy as np
 
-    lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
-    space = np.zeros(256, bool)
-    space[[0x20, *range(0x09, 0x0E)]] = True
-    random = np.random.default_rng(20240229).integers(0, 2**64, 256, np.uint64)
-    base = 0x9E3779B97F4A7C15
-    powers = np.full(BLOCK + 1, base, np.uint64)
-    inverse = np.full(BLOCK + 1, pow(base, -1, 2**64), np.uint64)
-    powers[0] = inverse[0] = 1
-    return lower, space, random, np.multiply.accumulate(powers), np.multiply.accumulate(inverse)
+    if not _MADE:
+        lower = np.arange(256, dtype=np.uint8)
+        lower[65:91] += 32
+        space = np.zeros(256, bool)
+        space[[0x20, *range(0x09, 0x0E)]] = True
+        random = np.random.default_rng(20240229).integers(0, 2**64, (SHORT, 256), np.uint64)
+        random[:, space] = 0
+        _MADE["tables"] = lower, space, random.ravel()
+    return _MADE["tables"]
 
 
 def _mix(x):
@@ -67,25 +71,32 @@ def _mix(x):
 
 
 def _block_words(data):
-    """Hashes of the words of a byte array, and where they start."""
+    """Hashes of the words of a byte array, and where they start.
+
+    A word's hash adds up independent random numbers for its bytes by place, so no family of words collides by rule.
+    """
     import numpy as np
 
-    lower, space, random, powers, inverse = _tables()
-    if len(data) > BLOCK:  # a single word longer than a block
-        from hashlib import blake2b
+    from hashlib import blake2b
 
-        out, starts, at = [], [], 0
-        for word in lower[data].tobytes().split():
-            out.append(int.from_bytes(blake2b(word, digest_size=8).digest(), "little"))
-            starts.append(at)
-        return np.array(out, np.uint64), np.array(starts, np.int64)
+    lower, space, random = _tables()
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~space[data]
     edges = np.diff(inside)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(random[lower[data]] * powers[: len(data)], out=sums[1:])
-    return _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    small = lower[data]
+    first = starts[0]
+    place = np.arange(first, len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+    np.minimum(place, SHORT - 1, out=place)
+    place <<= 8
+    place += small[first:]
+    sizes = ends - starts
+    sums = np.add.reduceat(random[place], starts - first) + sizes.astype(np.uint64)
+    for i in np.flatnonzero(sizes > SHORT).tolist():
+        sums[i] = int.from_bytes(blake2b(small[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return _mix(sums), starts
 
 
 def _pieces(data: bytes):

@@ -142,20 +142,47 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+#: Spans that are taken together: neither arrays nor texts grow with the number of spans.
+SPANS_AT_ONCE = 128
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value made once, wherever and however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with every span, or run of overlapping spans, replaced by one ``[KIND]`` mark."""
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(s: Column, x: Column) -> Column:
-        inside = x["start"] < s["at"]
-        gap = F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
-        mark = F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.when(inside, F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(
-            F.struct(x["end"].alias("at"), F.concat(s["out"], F.array(gap, mark)).alias("out"))
-        )
+    def stops_of(groups: Column) -> Column:
+        return F.transform(groups, lambda g: F.array_max(F.transform(g, lambda s: s["end"])))
+
+    def before(stops: Column, g: Column) -> Column:
+        return F.coalesce(F.array_max(F.slice(stops, F.lit(1), g)), F.lit(0).cast("long"))
+
+    def marked(group: Column, begin: Column, piece: Column) -> Column:
+        state = F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out"))
+
+        def step(s: Column, x: Column) -> Column:
+            gap = F.substring(piece, (s["at"] - begin + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
+            mark = F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))
+            return F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(
+                F.struct(x["end"].alias("at"), F.concat(s["out"], F.array(gap, mark)).alias("out"))
+            )
+
+        return F.array_join(F.aggregate(group, state, step, lambda s: s["out"]), "")
+
+    def told(group: Column, begin: Column, stop: Column) -> Column:
+        """The text from where the last group ended up to the end of this one."""
+        cut = F.substring(text, (begin + 1).cast("int"), F.greatest(stop - begin, F.lit(0)).cast("int"))
+        return _bound(cut, lambda piece: marked(group, begin, piece))
 
-    def last(s: Column) -> Column:
-        rest = F.substring(text, (s["at"] + 1).cast("int"), F.length(text))
-        return F.concat(F.array_join(s["out"], ""), rest)
+    def all_of(groups: Column, stops: Column) -> Column:
+        done = F.transform(groups, lambda group, g: _bound(before(stops, g), lambda begin: told(group, begin, F.get(stops, g))))
+        rest = F.substring(text, (F.array_max(stops) + 1).cast("int"), F.length(text))
+        return F.concat(F.array_join(done, ""), rest)
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, state, step, last))
+    places = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / SPANS_AT_ONCE).cast("int"))
+    groups = F.transform(places, lambda g: F.slice(spans, g * SPANS_AT_ONCE + 1, F.lit(SPANS_AT_ONCE)))
+    done = _bound(groups, lambda groups: _bound(stops_of(groups), lambda stops: all_of(groups, stops)))
+    return F.when(F.size(spans) == 0, text).otherwise(done)

@@ -81,6 +81,9 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.nodes, self.open, self.hidden, self.linked = [Node("body", -1, 0)], [("", 0)], [], 0
+        # How many tags of a name are open: blocks in all, inline ones since the latest open block. Tags that end without
+        # a start are told apart without walking what is open.
+        self.blocks, self.inline = Counter(), [Counter()]
         self.parts: list[str] = []
         self.link_chars = 0
 
@@ -97,10 +100,15 @@ class Tree(HTMLParser):
         return len(self.nodes) - 1
 
     def _close(self, count: int):
-        for tag, _ in self.open[-count:] if count else ():
+        for _ in range(count):
+            tag = self.open.pop()[0]
+            if tag in BLOCK:
+                self.blocks[tag] -= 1
+                self.inline.pop()
+                continue
+            self.inline[-1][tag] -= 1
             if tag == "a":
                 self.linked = max(0, self.linked - 1)
-        del self.open[len(self.open) - count :]
 
     def handle_starttag(self, tag, attrs):
         if self.hidden:
@@ -130,10 +138,13 @@ class Tree(HTMLParser):
             at = self.open[-1][1]
             words = [w.lower() for k, v in attrs if k in ("class", "id", "role", "itemprop", "aria-label") for w in TOKEN.findall(v or "")]
             self.open.append((tag, self._add(Node(ALIAS.get(tag, tag), at, self.nodes[at].depth + 1, tuple(words)))))
+            self.blocks[tag] += 1
+            self.inline.append(Counter())
             return
         if tag == "a":
             self.linked += 1
         self.open.append((tag, self.open[-1][1]))
+        self.inline[-1][tag] += 1
 
     def handle_endtag(self, tag):
         if self.hidden:
@@ -142,14 +153,14 @@ class Tree(HTMLParser):
             return
         if tag in ("html", "head", "body") or tag in VOID:
             return
-        for back in range(1, len(self.open)):
-            if self.open[-back][0] == tag:
-                if tag in BLOCK:
-                    self._flush()
-                self._close(back)
-                return
-            if tag not in BLOCK and self.open[-back][0] in BLOCK:
-                return
+        if not (self.blocks[tag] if tag in BLOCK else self.inline[-1][tag]):
+            return
+        back = 1
+        while self.open[-back][0] != tag:
+            back += 1
+        if tag in BLOCK:
+            self._flush()
+        self._close(back)
 
     def handle_data(self, data):
         if not self.hidden:

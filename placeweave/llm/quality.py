@@ -160,7 +160,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> D
     first = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [usable.filter(F.col("quality") == q).orderBy(*first).limit(settings.per_class) for q in (0, 1)]
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "quality")
+    # One text for each labelled id, however often the id stands in the table.
+    found = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    return found.select("text", "quality")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -10,7 +10,12 @@ one place, so a cycle of fewer words than a window stays whole where it stands f
 the same word runs of half their length, those whose hash is the least among their neighbours, so only windows around a
 chosen run that occurs twice are hashed and compared; none other can be equal to another.
 
-A null id ranks last. Rows with the same id rank alike: neither loses to the other. Null and empty texts have no units.
+A text that a lower id has as a whole goes as a whole, if it has as many words as a window, before any window is made.
+
+Results for edge cases: a null id ranks last; rows with the same id rank alike, so neither loses to the other and repeats
+among them stay. Null and empty texts have no units. Texts of any length are read whole. Words are parted by white space, so
+a repeated line in a script without spaces counts as one word and stays. Columns beside the two named are not read, whatever
+their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeweave.llm.jaccard import _mix, word_hashes
-from placeweave.llm.store import release, small_batches, store, text_of
+from placeweave.llm.store import discard, release, small_batches, store, text_of
 
 UNITS = "array<struct<pos: int, start: int, end: int, words: int, digest: binary, again: boolean>>"
 LAST = 2**63 - 1
@@ -72,19 +77,17 @@ def unit_udf(separator: str):
 def _passages(marks: Column, least: int) -> Column:
     """Runs of neighbouring marks (sorted by pos) with enough words: ``array<struct<start, end>>``.
 
-    A unit counts as a neighbour when only wordless units lie between, so ``pos`` of the unit before is carried along.
+    A mark says which place comes right before it. Runs are sliced at the marks that begin one, so the work is linear.
     """
-    kind = "array<struct<start:int,end:int,words:int,last:int>>"
-    empty = F.array().cast(kind)
+    places = F.sequence(F.lit(0), F.size(marks) - 1)
+    begins = F.filter(places, lambda i: (i == 0) | (F.get(marks, i)["before"] != F.get(marks, i - 1)["pos"]))
 
-    def step(runs: Column, m: Column) -> Column:
-        last = F.element_at(runs, -1)
-        joins = (F.size(runs) > 0) & (F.coalesce(F.get(runs, F.size(runs) - 1)["last"], F.lit(-2)) == m["before"])
-        alone = F.struct(m["start"].alias("start"), m["end"].alias("end"), m["words"].alias("words"), m["pos"].alias("last"))
-        grown = F.struct(last["start"].alias("start"), m["end"].alias("end"), (last["words"] + m["words"]).alias("words"), m["pos"].alias("last"))
-        return F.when(joins, F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(grown))).otherwise(F.concat(runs, F.array(alone)))
+    def run(begin: Column, k: Column) -> Column:
+        stop = F.coalesce(F.get(begins, k + 1), F.size(marks))
+        words = F.aggregate(F.slice(marks, begin + 1, stop - begin), F.lit(0), lambda n, m: n + m["words"])
+        return F.struct(F.get(marks, begin)["start"].alias("start"), F.get(marks, stop - 1)["end"].alias("end"), words.alias("words"))
 
-    runs = F.filter(F.aggregate(marks, empty, step), lambda r: r["words"] >= least)
+    runs = F.filter(F.transform(begins, run), lambda r: r["words"] >= least)
     return F.transform(runs, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
 
 
@@ -96,9 +99,12 @@ def repeated_units(docs: DataFrame, settings: Settings, doc_id: str, text: str)
     one = listed.select("rank", "body", F.posexplode("u").alias("nr", "x")).select("rank", "body", "nr", "x.*")
     every = store(one, "units")
     first = every.groupBy("digest").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    hits = every.join(store(first, "repeats"), "digest").filter(F.col("again") | (F.col("rank") != F.col("first")))
+    first = store(first, "repeats")
+    hits = every.join(first, "digest").filter(F.col("again") | (F.col("rank") != F.col("first")))
     mark = F.struct(F.col("nr").alias("pos"), (F.col("nr") - 1).alias("before"), "start", "end", "words")
-    return hits.groupBy("rank", "body").agg(F.sort_array(F.collect_set(mark)).alias("marks"))
+    marks = store(hits.groupBy("rank", "body").agg(F.sort_array(F.collect_set(mark)).alias("marks")), "marks")
+    discard(every, first)
+    return marks
 
 
 def grams(words, k: int):
@@ -223,13 +229,37 @@ def repeated_windows(docs: DataFrame, settings: Settings) -> DataFrame:
 
     every = store(docs.mapInArrow(anchors, "rank long, body long, anchor long, twice boolean"), "anchors")
     common = every.groupBy("anchor").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).filter("n > 1 or twice").select("anchor")
-    wanted = every.join(store(common, "common"), "anchor", "left_semi").groupBy("rank", "body").agg(F.collect_set("anchor").alias("anchors"))
-    rows = docs.join(store(wanted, "wanted"), ["rank", "body"]).select("rank", "body", "text", "anchors")
+    common = store(common, "common")
+    wanted = every.join(common, "anchor", "left_semi").groupBy("rank", "body").agg(F.collect_set("anchor").alias("anchors"))
+    wanted = store(wanted, "wanted")
+    discard(every, common)
+    rows = docs.join(wanted, ["rank", "body"]).select("rank", "body", "text", "anchors")
     found = rows.mapInArrow(windows, "rank long, body long, hash long, start int, end int, again boolean")
     found = store(found, "windows")
+    discard(wanted)
     first = found.groupBy("hash").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    hits = found.join(store(first, "held"), "hash").filter(F.col("again") | (F.col("rank") != F.col("first")))
-    return hits.select("rank", "body", "start", "end")
+    first = store(first, "held")
+    hits = found.join(first, "hash").filter(F.col("again") | (F.col("rank") != F.col("first")))
+    # Windows of one text that overlap or touch are one span at once; rows that repeat give the same spans.
+    spans = hits.groupBy("rank", "body").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = store(spans.select("rank", "body", joined_spans(F.col("spans")).alias("spans")), "spans")
+    discard(found, first)
+    return spans.select("rank", "body", F.inline("spans"))
+
+
+def split_copies(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(rows to compare, spans of the others): a text that a row of a lower rank holds as a whole is one span from its first
+    word to its last when it has ``least`` words, and none when it has fewer; it is not compared with anything."""
+    # 128 bits name a text here, as a row that is taken for a copy is not looked at again.
+    named = rows.withColumn("second", F.xxhash64(F.lit(1), "text"))
+    ranks = named.groupBy("body", "second").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).filter("lo <> hi").drop("hi")
+    marked = named.join(store(ranks, "copies"), ["body", "second"], "left")
+    later = F.coalesce(F.col("rank") > F.col("lo"), F.lit(False))
+    n = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
+    start = F.length("text") - F.length(F.regexp_replace("text", r"(?U)^\s+", ""))
+    end = F.length(F.regexp_replace("text", r"(?U)\s+$", ""))
+    copies = marked.filter(later & (n >= least)).select("rank", "body", start.cast("int").alias("start"), end.cast("int").alias("end"))
+    return marked.filter(~later).select("rank", "body", "text"), copies.distinct()
 
 
 def joined_spans(spans: Column) -> Column:
@@ -286,8 +316,9 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), doc_id: str
     )
     marks = repeated_units(docs, settings, doc_id, text)
     lines = marks.select("rank", "body", F.inline(_passages(F.col("marks"), settings.least_words)))
-    spans = lines.unionByName(repeated_windows(rows.select("rank", "body", "text"), settings))
-    listed = spans.groupBy("rank", "body").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    compared, copies = split_copies(rows.select("rank", "body", "text"), settings.window_words)
+    spans = lines.unionByName(copies).unionByName(repeated_windows(compared, settings))
+    listed = spans.groupBy("rank", "body").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     passages = store(listed.select("rank", "body", joined_spans(F.col("spans")).alias("removed")), "passages")
     none = F.array().cast("array<struct<start:int,end:int>>")
     joined = rows.join(passages, ["rank", "body"], "left").withColumn("removed", F.coalesce("removed", none))

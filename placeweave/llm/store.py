@@ -25,23 +25,45 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables once what was made of them is written."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def text_of(col: str | Column) -> Column:
     """A text column with null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let at most so many rows go to Python at once: texts are long, and a task's share of memory is not."""
+    """Let at most so many rows and bytes go to Python at once: texts are long, and a task's share of memory is not."""
     if int(spark.conf.get(BATCH)) > rows or int(spark.conf.get(BATCH)) <= 0:
         spark.conf.set(BATCH, str(rows))
+    spark.conf.set(BATCH_BYTES, str(4 << 20))
 
 
 def release() -> None:
-    """Free what earlier tasks of a reused Python worker left: their functions hold each other, so only a collection does."""
+    """Free what earlier tasks of a reused Python worker left: their functions hold each other, so only a collection does.
+
+    What is free then goes back to the system, so that a worker holds what its task needs and not the most that any needed.
+    """
+    import ctypes
+
+    import pyarrow as pa
+
     gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 class Shared:

@@ -133,6 +133,131 @@ def test_op13_on_a_whole_table_equals_brute_force(spark):
     assert got_variants(queries.op13_spelling_variants(spark, SF)) == brute_variants(brute_vocabulary(docs))
 
 
+# words that a hash modulo a power of two takes for one
+
+
+def alike(n):
+    """Two different words of ``n`` letters with equal polynomial hashes modulo 2 ** 64 from 1,024 letters on."""
+    x, y = "a", "b"
+    while len(x) < n:
+        x, y = x + y, y + x
+    return x, y
+
+
+@pytest.mark.parametrize("n", [32, 64, 128, 512, 1024, 2048, 4096])
+def test_words_of_equal_weak_hashes_are_told_apart(n):
+    from placeweave.llm import bpe, jaccard
+
+    x, y = alike(n)
+    assert len(set(np.concatenate(list(jaccard.word_hashes([x, y, f"{x} {y}"]))).tolist())) == 2
+    coder = queries.codec()
+    for text in (f" {x} {y}", f" {y} {x}", x + y):
+        assert coder.decode(coder.encode(text)) == text.encode()
+    data = np.frombuffer(f"{x}{y}".encode(), np.uint8)
+    assert len(set(bpe.word_names(data, np.array([0, n]), np.array([n, 2 * n])).tolist())) == 2
+
+
+def test_bpe_compares_the_bytes_of_words_with_equal_names(monkeypatch):
+    from placeweave.llm import bpe
+
+    coder = queries.codec()
+    monkeypatch.setattr(bpe, "word_names", lambda data, starts, stops: np.zeros(len(starts), np.uint64))
+    for word in ("one", "two", "one"):
+        assert coder.decode(coder.encode(word)) == word.encode()
+
+
+def test_jaccard_and_line_dedup_tell_such_texts_apart(spark):
+    from placeweave.llm import jaccard, repeats
+
+    x, y = alike(1024)
+    texts = [" ".join([w, "b", "c"] * 30 + [f"w{i}" for i in range(60)]) for w in (x, y)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in jaccard.near_components(df, jaccard.Settings(percent=80)).collect()}
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in words]
+    assert 100 * len(sets[0] & sets[1]) < 80 * len(sets[0] | sets[1]) or got[1] == 0
+    lone = spark.createDataFrame([(0, " ".join([x] * 60)), (1, " ".join([y] * 60))], "doc_id long, text string")
+    assert {r["n_removed"] for r in repeats.remove_repeats(lone).collect()} == {0}
+
+
+# what many spans, tags and rows cost
+
+
+def test_many_parted_passages_secrets_and_stray_tags_stay_linear(spark):
+    import time
+
+    from placeweave.llm import ledger, pages, repeats
+
+    page = "<div>" + "<b><i>x</b>" * 4000 + "</em>" * 4000 + "</p>" * 4000 + "</div>"
+    started = time.perf_counter()
+    assert pages.parse(page)
+    assert time.perf_counter() - started < 3
+    part = "k = 'api_key: " + "A" * 10 + "' "
+    df = spark.createDataFrame([(part * 3_000,)], "text string")
+    found = store(ledger.scan(df, ledger.Ledger(spark)), "found")
+    started = time.perf_counter()
+    (row,) = found.select(ledger.redact(F.col("text"), F.col("found")).alias("t"), F.size("found").alias("n")).collect()
+    assert row["n"] == 3_000 and "A" * 8 not in row["t"] and row["t"].count("[ASSIGN]") == 3_000
+    assert time.perf_counter() - started < 10
+    unit = " ".join(f"w{i}" for i in range(60))
+    lines = [(1, unit), (2, "\n".join(f"{unit}\nown{i}" for i in range(1000)))]
+    got = repeats.remove_repeats(spark.createDataFrame(lines, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert got[1]["n_removed"] == 1000 and got[1]["text"] == "\n".join(f"own{i}" for i in range(1000))
+
+
+def test_redaction_of_overlapping_spans_over_groups(spark, monkeypatch):
+    from placeweave.llm import ledger
+
+    r = random.Random(3)
+    for size in (1, 2, 3, 128):
+        monkeypatch.setattr(ledger, "SPANS_AT_ONCE", size)
+        rows = []
+        for _ in range(20):
+            text = "".join(r.choice("abcé🙂 ") for _ in range(60))
+            spans = sorted((a, min(60, a + r.randint(1, 25)), r.choice(["hex", "jwt"])) for a in (r.randrange(60) for _ in range(r.randint(0, 7))))
+            want, at = "", 0
+            for a, b, kind in spans:
+                if a >= at:
+                    want += text[at:a] + f"[{kind.upper()}]"
+                at = max(at, b)
+            rows.append((text, [{"kind": k, "start": a, "end": b} for a, b, k in spans], want + text[at:]))
+        df = spark.createDataFrame(rows, "text string, spans array<struct<kind:string,start:long,end:long>>, want string")
+        assert df.filter(ledger.redact(F.col("text"), F.col("spans")) != F.col("want")).count() == 0
+
+
+def test_chat_roles_of_any_characters_read_back(spark):
+    from placeweave.llm import chat
+
+    roles = ["a\0b", "\\", "\\n", "\n", "\\\n", "a\\\\nb\0\n", "<|im_end|>", "<\\|", ""]
+    df = spark.createDataFrame([(1, i, role, f"t{i}") for i, role in enumerate(roles)], "conv_id long, turn long, role string, text string")
+    (row,) = chat.format_conversations(df).select(chat.read_turns(F.col("formatted")).alias("t")).collect()
+    assert [t["role"] for t in row["t"]] == roles
+
+
+def test_quality_sample_takes_one_text_of_a_labelled_id(spark):
+    from placeweave.llm import quality
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)] * 3, "doc_id long, quality int")
+    settings = quality.Settings(per_class=10)
+    rows = quality.labelled_sample(docs, labels, settings).collect()
+    kept = [i for i in (1, 2) if zlib.crc32(str(i).encode()) % 5]
+    assert len(rows) == len(kept)
+
+
+def test_pipeline_drops_near_copies_by_row(spark):
+    import corpus_pipeline as p
+    from placeweave.llm.store import store
+
+    r = random.Random(4)
+    a, b, c = (" ".join(random_words(r, 80)) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, c), (5, b + " x"), (None, None), (6, ""), (1, a)]
+    docs = store(spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, row_number string").repartition(3), "docs")
+    kept = [(x["doc_id"], x["text"]) for x in p.near_duplicate_stage(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (2, b), (None, c), (None, None), (6, "")], key=repr)
+    assert p.near_duplicate_stage(spark, docs.limit(0), "").count() == 0
+
+
 # fingerprints
 
 
