@@ -307,6 +307,37 @@ def admin_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, ADMIN).select(*_element("relation", c("admin_id"), tags, geometry=geometry))
 
 
+_MEMBERS = "array<struct<type:string,ref:bigint,role:string,geometry:array<struct<lat:double,lon:double>>>>"
+
+
+def admin_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The administrative areas as dumps give them: relations of several ways, out of order, some of them backwards, with a
+    hole, a way that leads nowhere and a label point, and every third one with a second ring far away."""
+    c = F.col
+    x, y, w, h = c("x0"), c("y0"), c("w"), c("h")
+    corners = [(x, y), (x + w, y), (x + w, y + h / 2), (x + w / 2, y + h / 2), (x + w / 2, y + h), (x, y + h)]
+
+    def way(ref: int, spots, role: str = "outer", kind: str = "way") -> Column:
+        line = F.array(*[_vertex(*v) for v in spots])
+        return F.struct(F.lit(kind).alias("type"), F.lit(ref).alias("ref"), F.lit(role).alias("role"), line.alias("geometry"))
+
+    far = [(F.lit(10.0) + i, F.lit(10.0) + j) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]
+    main = F.array(
+        way(3, [corners[4], corners[5], corners[0]]),
+        way(9, [(x + w / 8, y + h / 8), (x + w / 4, y + h / 8), (x + w / 4, y + h / 4), (x + w / 8, y + h / 8)], "inner"),
+        way(1, corners[:3], ""),
+        way(8, [(x - 1, y - 1), (x - 2, y - 2)]),
+        way(7, corners[:1], "label", "node"),
+        way(2, [corners[4], corners[3], corners[2]]),
+    )
+    rings = F.when(c("admin_id") % 3 == 0, F.concat(main, F.array(way(5, far)))).otherwise(main)
+    tags = _tags(
+        admin_level=F.lit("6"), name=c("name"), addr__district=c("district"), addr__city=c("city"), addr__postcode=c("postcode")
+    )
+    rows = derive(spark, sf_dir, ADMIN)
+    return rows.select(*_element("relation", c("admin_id"), tags), rings.cast(_MEMBERS).alias("members"))
+
+
 def address_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     tags = _tags(**{f"addr__{k}": c(k) for k in ("housenumber", "street", "postcode", "city", "district")})

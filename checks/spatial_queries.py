@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from placeweave.functions.osm import osm_area_id as area_id_of, osm_type_code as type_code_of
 from placeweave.operators import elements as E
 from placeweave.operators.nearest import nearest_within
+from placeweave.operators.relations import with_relation_rings
 from placeweave.operators.profile import sub_district_provenance as provenance_of
 from placeweave.plans import spatial_enrich as S
 from placeweave.plans.canonicalize import canonicalize as canonicalize_features
@@ -15,7 +16,7 @@ from placeweave.sources.osm import scan_element_lines, scan_elements
 
 from . import expected as X
 from .inputs import (
-    ADMIN, PLACES, PREMISES, address_elements, address_features, admin_elements, building_elements, compact_elements, derive, osm_elements,
+    ADMIN, PLACES, PREMISES, address_elements, address_features, admin_elements, admin_relations, building_elements, compact_elements, derive, osm_elements,
     place_elements, table, written_elements,
 )
 from .registry import query
@@ -218,6 +219,17 @@ def points_in_admin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.points_in_admin(addresses, areas).select("addr_osm_id", "admin_city", "admin_postcode", "admin_district")
 
 
+@query(
+    f"""SELECT d.addr_osm_id, a.admin_city, a.admin_postcode, a.admin_district FROM ({X.ADDRESSES}) d
+  LEFT JOIN (SELECT * FROM ({X.AREAS}) WHERE n_vertices = 6) a ON {X.in_area('d.lon', 'd.lat')}"""
+)
+def points_in_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas put together from the ways of relations: the same matches as for areas drawn as one ring."""
+    addresses = E.address_points(address_elements(spark, sf_dir))
+    areas = E.admin_areas(with_relation_rings(admin_relations(spark, sf_dir)))
+    return S.points_in_admin(addresses, areas).select("addr_osm_id", "admin_city", "admin_postcode", "admin_district")
+
+
 @query(
     f"""SELECT d.addr_osm_id, b.osm_id AS building_osm_id, d.addr_housenumber, d.addr_street,
    coalesce(d.addr_district, a.admin_district) AS addr_district, coalesce(d.addr_city, a.admin_city) AS addr_city,

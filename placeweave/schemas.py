@@ -45,6 +45,9 @@ FEATURE_COLLECTION = _struct({"features": T.ArrayType(FEATURE)})
 LAT_LON = _struct({"lat": DOUBLE, "lon": DOUBLE})
 VERTEX = _struct({"x": DOUBLE, "y": DOUBLE})
 
+# A relation's members; ways carry their own geometry in dumps that ask for it.
+MEMBER = _struct({"type": STRING, "ref": LONG, "role": STRING, "geometry": T.ArrayType(LAT_LON)})
+
 OSM_ELEMENT = _struct(
     {
         "type": STRING,
@@ -54,6 +57,7 @@ OSM_ELEMENT = _struct(
         "center": LAT_LON,
         "geometry": T.ArrayType(LAT_LON),
         "tags": T.MapType(STRING, STRING),
+        "members": T.ArrayType(MEMBER),
     }
 )
 

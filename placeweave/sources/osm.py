@@ -12,7 +12,7 @@ from .records import documents, records, rejects
 
 
 def scan_elements(spark: SparkSession, paths: str | Sequence[str], strict: bool = True) -> DataFrame:
-    """(path, pos, type, id, lat, lon, center, geometry, tags); ``(path, pos)`` is the element's file order.
+    """(path, pos, type, id, lat, lon, center, geometry, tags, members); ``(path, pos)`` is the element's file order.
 
     Missing paths are skipped and each path is read once. A dump that is not JSON stops the scan unless ``strict`` is off.
     """
