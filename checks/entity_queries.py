@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from placeweave.functions.text import slugify
 from placeweave.operators import entities as N
-from placeweave.sources.entities import known_slugs_of, parse_entity_docs, render_document
+from placeweave.session import scratch_path
+from placeweave.sources.entities import known_slugs as slugs_of_files
+from placeweave.sources.entities import rendered, scan_entity_docs as scan_docs, write_entity_docs
 
 from . import expected as X
 from .inputs import ADMIN, ENTITIES, HITS, PLACES, REQUESTS, address_features, derive, details, entities, table  # noqa: F401
@@ -17,10 +19,7 @@ RANK = ["r1", "r2", "r3", "r4"]
 
 
 def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col
-    rows = entities(spark, sf_dir).withColumns({"names_en": c("names.en"), "names_zh": c("names.zh")})
-    columns = "id category lat lon names_en names_zh source last_updated tags geometry_ref assigned_district".split()
-    return rows.select("slug", render_document({n: c(n) for n in columns}, c("body")).alias("document"))
+    return rendered(entities(spark, sf_dir))
 
 
 def _quoted(expr: str) -> str:
@@ -48,19 +47,41 @@ def render_entity_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM ({X.ENTITIES})"""
 )
 def scan_entity_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rendered documents parsed back."""
-    docs = parse_entity_docs(_rendered(spark, sf_dir))
+    """Documents written as files and read back."""
+    path = scratch_path(spark, "entities")
+    write_entity_docs(entities(spark, sf_dir), path)
+    return _flat(scan_docs(spark, path))
+
+
+def _flat(docs: DataFrame) -> DataFrame:
     return docs.select(
         "slug", "id", F.col("names.en").alias("en"), F.col("names.zh").alias("zh"), "category", "lat", "lon", "source",
         "last_updated", F.array_join("tags", ",").alias("tags"), "geometry_ref", "assigned_district", "body",
     )
 
 
-@query("SELECT DISTINCT replace(p_name, ' ', '_') || '-' || p_type AS slug FROM part")
+@query(f"SELECT slug FROM ({X.ENTITIES})")
 def known_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stem = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("-"), "p_type")
-    paths = table(spark, sf_dir, "part").select(F.concat(F.lit("file:/corpus/entities/"), stem, F.lit(".md")).alias("path"))
-    return known_slugs_of(paths)
+    """From the names of written files; the texts are not read."""
+    path = scratch_path(spark, "entities")
+    write_entity_docs(entities(spark, sf_dir), path)
+    return slugs_of_files(spark, path)
+
+
+@query(
+    f"""WITH wanted AS (SELECT s_suppkey AS k, 'place-' || CAST(s_suppkey AS STRING) AS slug FROM supplier)
+  SELECT w.slug, CASE WHEN k % 3 = 0 THEN e.document ELSE replace(e.document, 'category: "poi"', 'category: "estate"') END AS document
+  FROM wanted w JOIN (SELECT slug, {_DOCUMENT} AS document FROM ({X.ENTITIES})) e ON w.slug = e.slug"""
+)
+def write_entity_docs_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document is written first; then all are created in another category, which leaves those alone."""
+    from placeweave.sources.entities import read_documents
+
+    path, rows = scratch_path(spark, "entities"), entities(spark, sf_dir)
+    third = F.regexp_extract("slug", r"(\d+)$", 1).cast("bigint") % 3 == 0
+    write_entity_docs(rows.filter(third), path)
+    write_entity_docs(rows.withColumn("category", F.lit("estate")), path, create_only=True)
+    return read_documents(spark, path)
 
 
 def _features_and_free_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from placeweave.operators import profile as P
+from placeweave.session import scratch_path
 from placeweave.sources import landing as L
+from placeweave.sources.documents import write_text_documents
 
 from . import expected as X
 from .inputs import address_features, table, write_documents
@@ -86,7 +88,39 @@ def file_manifest_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("bigint").alias("bucket"), "length", "file_md5")
 
 
-@query(f"SELECT count(*) AS files, CAST(0 AS BIGINT) AS geojson_files, CAST(sum(strlen(content)) AS BIGINT) AS total_bytes FROM ({_FILES})")
+PER_COLLECTION = 100
+
+_COLLECTIONS = f"""SELECT CAST(floor(c_custkey / {PER_COLLECTION}) AS BIGINT) AS nr, '{{"type":"FeatureCollection","features":['
+   || string_agg('{{"type":"Feature","geometry":null,"properties":{{"k":' || CAST(c_custkey AS STRING) || '}}}}', ',' ORDER BY c_custkey) || ']}}' AS content
+  FROM customer GROUP BY 1"""
+
+
+def _written_collections(spark: SparkSession, sf_dir: str) -> str:
+    """Small feature collections; every third one has its suffix in capitals, and every fifth is plain JSON by name."""
+    path = scratch_path(spark, "collections")
+    k = F.col("c_custkey")
+    feature = F.concat(F.lit('{"type":"Feature","geometry":null,"properties":{"k":'), k.cast("string"), F.lit("}}"))
+    listed = F.array_sort(F.collect_list(F.struct(k.alias("k"), feature.alias("text"))))
+    grouped = table(spark, sf_dir, "customer").groupBy(F.floor(k / PER_COLLECTION).alias("nr")).agg(listed.alias("items"))
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join("items.text", ","), F.lit("]}"))
+    suffix = F.when(F.col("nr") % 5 == 4, ".json").when(F.col("nr") % 3 == 0, ".GeoJSON").otherwise(".geojson")
+    write_text_documents(grouped, path, F.concat(F.lit("c"), F.lpad(F.col("nr").cast("string"), 9, "0"), suffix), text)
+    return path
+
+
+@query(
+    f"""SELECT (SELECT count(*) FROM ({_FILES})) + count(*) AS files, count(*) FILTER (nr % 5 <> 4) AS geojson_files,
+   CAST(sum(strlen(content)) + (SELECT sum(strlen(content)) FROM ({_FILES})) AS BIGINT) AS total_bytes FROM ({_COLLECTIONS})"""
+)
 def landing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = L.file_manifest(spark, _written_pages(spark, sf_dir))
-    return L.landing_summary(manifest.filter(~F.col("path").endswith("_SUCCESS")))
+    manifests = [L.file_manifest(spark, written(spark, sf_dir)) for written in (_written_pages, _written_collections)]
+    return L.landing_summary(manifests[0].filter(~F.col("path").endswith("_SUCCESS")).unionByName(manifests[1]))
+
+
+@query(
+    f"""SELECT 'c' || lpad(CAST(nr AS STRING), 9, '0') || CASE WHEN nr % 3 = 0 THEN '.GeoJSON' ELSE '.geojson' END AS name,
+   CAST(strlen(content) AS BIGINT) AS length FROM ({_COLLECTIONS}) WHERE nr % 5 <> 4 ORDER BY nr LIMIT 10"""
+)
+def example_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = L.example_files(L.file_manifest(spark, _written_collections(spark, sf_dir)))
+    return found.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length")

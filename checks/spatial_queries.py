@@ -12,6 +12,7 @@ from placeweave.operators.profile import sub_district_provenance as provenance_o
 from placeweave.plans import spatial_enrich as S
 from placeweave.plans.canonicalize import canonicalize as canonicalize_features
 from placeweave.plans.sub_district import derive_sub_district as derive_localities
+from placeweave.session import scratch_path
 from placeweave.sources.osm import scan_element_lines, scan_elements
 
 from . import expected as X
@@ -241,6 +242,20 @@ def spatial_enrich_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.spatial_enrich_elements(osm_elements(spark, sf_dir))
 
 
+@query(
+    f"""SELECT d.addr_osm_id, b.osm_id AS building_osm_id, nullif(d.addr_housenumber, '') AS addr_housenumber, nullif(d.addr_street, '') AS addr_street,
+   nullif(coalesce(d.addr_district, a.admin_district), '') AS addr_district, nullif(coalesce(d.addr_city, a.admin_city), '') AS addr_city,
+   nullif(coalesce(d.addr_postcode, a.admin_postcode), '') AS addr_postcode, d.lon, d.lat
+  FROM ({X.ADDRESSES}) d LEFT JOIN ({X.BUILDING_RINGS}) b ON {X.in_square('d.lon', 'd.lat')}
+  LEFT JOIN ({X.AREAS}) a ON {X.in_area('d.lon', 'd.lat')}"""
+)
+def write_enriched_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched table as CSV, read back: empty texts are empty fields."""
+    enriched, path = S.spatial_enrich_elements(osm_elements(spark, sf_dir)), scratch_path(spark, "enriched")
+    S.write_enriched(enriched, path)
+    return spark.read.schema(enriched.schema).option("header", True).csv(path)
+
+
 _L_SHAPES = f"SELECT x0, y0, x0 + w AS x1, y0 + h AS y1, x0 + w / 2 AS xc, y0 + h / 2 AS yc, admin_id FROM ({X.ADMIN})"
 _CORNERS = [("cx - h", "cy - h"), ("cx + h", "cy - h"), ("cx + h", "cy + h"), ("cx - h", "cy + h")]
 _AREA_CORNERS = [

@@ -10,6 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import ENTITY
+from .documents import write_text_documents
+from .records import existing_paths
 
 # The parser travels with the job, so executors need no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -90,8 +92,11 @@ def parse_entity_docs(documents: DataFrame, document: str = "document") -> DataF
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(slug, document): one row per ``.md`` file, the slug being the file stem."""
-    files = spark.read.option("pathGlobFilter", "*.md").text(paths, wholetext=True)
+    """(slug, document): one row per ``.md`` file, the slug being the file stem. Paths that do not exist hold none."""
+    found = existing_paths(spark, paths)
+    if not found:
+        return spark.createDataFrame([], "slug string, document string")
+    files = spark.read.option("pathGlobFilter", "*.md").text(found, wholetext=True)
     stem = F.regexp_extract("_metadata.file_name", r"^(.*)\.md$", 1)
     return files.select(stem.alias("slug"), F.col("value").alias("document"))
 
@@ -107,8 +112,11 @@ def known_slugs_of(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def known_slugs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Distinct file stems of a corpus, from file names alone."""
-    return known_slugs_of(spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(paths).select("path"))
+    """Distinct file stems of a corpus, from file names alone. Paths that do not exist hold none."""
+    found = existing_paths(spark, paths)
+    if not found:
+        return spark.createDataFrame([], "slug string")
+    return known_slugs_of(spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(found).select("path"))
 
 
 def _quoted(value: Column) -> Column:
@@ -154,3 +162,22 @@ def render_document(entity: dict[str, Column], body: Column | None = None) -> Co
         ).otherwise(F.coalesce(entity["names_en"], F.lit("")))
         body = F.concat(F.lit("# "), title, F.lit("\n\nShort description.\n"))
     return F.concat(F.lit("---\n"), head, F.lit("\n---\n\n"), F.coalesce(body, F.lit("")))
+
+
+def rendered(entities: DataFrame) -> DataFrame:
+    """(slug, document) of entity rows: ``slug``, the entity fields, and ``body`` and ``extra`` where there are such columns.
+
+    A row without a body gets the one that new documents have.
+    """
+    c = F.col
+    fields = {n: c(n) for n in (*ENTITY.fieldNames(), "extra") if n in entities.columns and n != "names"}
+    fields |= {"names_en": c("names.en"), "names_zh": c("names.zh")}
+    document = render_document(fields)
+    if "body" in entities.columns:
+        document = F.when(c("body").isNull(), document).otherwise(render_document(fields, c("body")))
+    return entities.select("slug", document.alias("document"))
+
+
+def write_entity_docs(entities: DataFrame, path: str, create_only: bool = False) -> None:
+    """``<slug>.md`` for every entity: new ones only with ``create_only``, else those that exist are rewritten."""
+    write_text_documents(rendered(entities), path, "slug", "document", ".md", create_only)
