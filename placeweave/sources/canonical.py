@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..schemas import CANONICAL
+from .quoted import read_quoted_csv
 
 
 def _format(path: str) -> str:
@@ -15,11 +16,11 @@ def _format(path: str) -> str:
 
 
 def read_canonical(spark: SparkSession, path: str, schema: T.StructType = CANONICAL, fmt: str | None = None) -> DataFrame:
-    """Empty CSV fields come back as null; texts such as ``NA`` stay text."""
+    """Empty CSV fields come back as null; texts such as ``NA`` stay text. CSV files are split between tasks."""
     reader = spark.read.schema(schema)
     fmt = fmt or _format(path)
     if fmt == "csv":
-        return reader.options(header=True, multiLine=True, escape='"').csv(path)
+        return read_quoted_csv(spark, path, schema)
     return reader.format(fmt).load(path)
 
 

@@ -62,3 +62,58 @@ def test_fill_rates_and_provenance(spark):
         "sub_district_chi string, sub_district_eng string, sub_district_dist_m double",
     )
     assert {r.provenance: r.cnt for r in P.sub_district_provenance(df).collect()} == {"geographic": 1, "village": 1, "none": 1}
+
+
+def quoted_rows(n):
+    import random
+
+    rnd = random.Random(4)
+    bits = ['"', ",", "\n", "\r\n", "a", "b c", "é", "\n\n", '""', "{x}", ""]
+    return [(i, "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 8))), i / 4 if i % 3 else None, rnd.choice(["NA", "", None, "x"])) for i in range(n)]
+
+
+def test_quoted_text_is_split_between_tasks(spark, tmp_path):
+    """Line breaks inside fields, blocks that begin inside them, records over several blocks, several files."""
+    import csv
+
+    from pyspark.sql import types as T
+
+    from placeweave.operators.sizing import NEVER, BroadcastLimit
+    from placeweave.sources.quoted import read_quoted_csv, read_records
+
+    schema = T.StructType([T.StructField(n, t) for n, t in (("k", T.LongType()), ("t", T.StringType()), ("d", T.DoubleType()), ("e", T.StringType()))])
+    rows = quoted_rows(900)
+    rows[300] = (300, "long\n" * 3000, 1.0, "x")
+    rows[301] = (301, '"' * 2001 + "\n", 1.0, "x")
+    for name, part in (("a", rows[:500]), ("b", rows[500:]), ("c", [])):
+        with open(tmp_path / f"{name}.csv", "w", encoding="utf8", newline="") as out:
+            writer = csv.writer(out, lineterminator="\n")
+            writer.writerow(["k", "a name\nof two lines", "d", "e"])
+            writer.writerows(part)
+            out.write("\n")
+    whole = spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(str(tmp_path))
+    want = sorted(map(tuple, whole.collect()), key=repr)
+    assert len(want) == 900
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        for limit in (BroadcastLimit(), NEVER):
+            got = read_quoted_csv(spark, str(tmp_path), schema, limit)
+            assert sorted(map(tuple, got.collect()), key=repr) == want
+        records = read_records(spark, str(tmp_path))
+        assert records.select("path", "block").distinct().count() > 10 and records.filter(f"pos = {2**61}").count() > 3
+        keys = [int(r["record"].split(",")[0]) for r in records.orderBy("path", "block", "pos").collect()]
+        assert keys == list(range(900))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_carriage_returns_before_line_breaks_belong_to_them(spark, tmp_path):
+    from placeweave.sources.quoted import read_quoted_csv
+    from pyspark.sql import types as T
+
+    (tmp_path / "x.csv").write_bytes(b'k,t\r\n1,"a\r\nb"\r\n\r\n2,c\r\n3,')
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    got = read_quoted_csv(spark, str(tmp_path), schema).collect()
+    assert sorted((r["k"], (r["t"] or "").replace("\r", "")) for r in got) == [(1, "a\nb"), (2, "c"), (3, "")]
