@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from placeweave.llm.jaccard import _mix, word_hashes
 from placeweave.llm.store import discard, release, small_batches, store, text_of
+from placeweave.operators.prefilter import only_possible, reduced_left_join
 
 UNITS = "array<struct<pos: int, start: int, end: int, words: int, digest: binary, again: boolean>>"
 LAST = 2**63 - 1
@@ -233,13 +234,16 @@ def repeated_windows(docs: DataFrame, settings: Settings) -> DataFrame:
     wanted = every.join(common, "anchor", "left_semi").groupBy("rank", "body").agg(F.collect_set("anchor").alias("anchors"))
     wanted = store(wanted, "wanted")
     discard(every, common)
-    rows = docs.join(wanted, ["rank", "body"]).select("rank", "body", "text", "anchors")
+    # Texts are many times their keys: those that surely hold nothing of the kind are not shuffled.
+    some = only_possible(docs, wanted, ["rank", "body"], wanted.count())
+    rows = some.join(wanted, ["rank", "body"]).select("rank", "body", "text", "anchors")
     found = rows.mapInArrow(windows, "rank long, body long, hash long, start int, end int, again boolean")
     found = store(found, "windows")
     discard(wanted)
     first = found.groupBy("hash").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     first = store(first, "held")
-    hits = found.join(first, "hash").filter(F.col("again") | (F.col("rank") != F.col("first")))
+    some = only_possible(found, first, ["hash"], first.count())
+    hits = some.join(first, "hash").filter(F.col("again") | (F.col("rank") != F.col("first")))
     # Windows of one text that overlap or touch are one span at once; rows that repeat give the same spans.
     spans = hits.groupBy("rank", "body").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     spans = store(spans.select("rank", "body", joined_spans(F.col("spans")).alias("spans")), "spans")
@@ -321,7 +325,8 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), doc_id: str
     listed = spans.groupBy("rank", "body").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     passages = store(listed.select("rank", "body", joined_spans(F.col("spans")).alias("removed")), "passages")
     none = F.array().cast("array<struct<start:int,end:int>>")
-    joined = rows.join(passages, ["rank", "body"], "left").withColumn("removed", F.coalesce("removed", none))
+    joined = reduced_left_join(rows, passages, ["rank", "body"], passages.count())
+    joined = joined.withColumn("removed", F.coalesce("removed", none))
     return joined.select(
         "doc_id", cut(F.col("text"), F.col("removed"), settings.separator).alias("text"), "removed", F.size("removed").alias("n_removed")
     )
