@@ -5,9 +5,11 @@ The plan follows what one small aggregate over the labels says:
 * No cell is crowded (the usual case): every label is copied to the lookup cells within the radius, each cell keeps the
   labels that are nearest to at least some spot in it as one bounded array, and each row looks up its own cell once.
   Broadcast when measured small, else one shuffle on the cell.
-* Some cell is crowded: cells are divided by four per side until none is. Rows then descend from coarse to fine,
-  keeping only the cells that can still hold the nearest label (closest corner no farther than another cell's farthest
-  corner). No task ever holds more than ``crowd`` labels of a cell, and the result is still exact.
+* Some cell is crowded: a directory of cells is built in which only crowded cells are divided, by four per side, and
+  those of their parts that are still crowded again. Rows then descend from the cells around them, opening divided cells
+  only and keeping only the cells that can still hold the nearest label (closest corner no farther than another cell's
+  farthest corner). A crowd in one place therefore costs cells there and nowhere else, no task ever holds more than
+  ``crowd`` labels of a cell, and the result is still exact.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from .sizing import BroadcastLimit, row_salt, spread_coordinate, spread_key
 
 CROWD = 256
 SPLIT = 4
-MAX_DEPTH = 20
+# By then cells are narrower than doubles of a coordinate's size are apart, so no cell is crowded any more.
+MAX_DEPTH = 26
 
 # Lookup cells per radius: smaller cells hold fewer candidates but copy each label (2 * 2 + 1) ** 2 times.
 LOOKUP_SPLIT = 2
@@ -55,26 +58,12 @@ def _unique(placed: DataFrame, order: Sequence[str]) -> DataFrame:
     return placed.groupBy("px", "py").agg(first.alias("label"))
 
 
-def _crowding(labels: DataFrame, radius: float, depth: int) -> list:
-    """Per level: cells, labels and the fullest cell. One pass, partial counts before the shuffle."""
-    levels = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(k).alias("k"), *(_cell(F.col(c), radius / SPLIT**k).alias(a) for c, a in (("px", "cx"), ("py", "cy"))))
-                for k in range(depth)
-            ]
-        )
-    ).alias("l")
-    width = F.length(F.to_json("label"))
-    return (
-        labels.select(levels, width.alias("w"))
-        .groupBy("l")
-        .agg(F.count("*").alias("n"), F.sum("w").alias("bytes"))
-        .groupBy("l.k")
-        .agg(F.count("*").alias("cells"), F.sum("n").alias("n"), F.max("n").alias("fullest"), F.sum("bytes").alias("bytes"))
-        .orderBy("k")
-        .collect()
-    )
+def _crowding(labels: DataFrame, radius: float) -> tuple[int, int, int]:
+    """(labels, the fullest cell, bytes of the carried columns). One pass, partial counts before the shuffle."""
+    cells = (_cell(F.col(c), radius).alias(a) for c, a in (("px", "cx"), ("py", "cy")))
+    counts = labels.groupBy(*cells).agg(F.count("*").alias("n"), F.sum(F.length(F.to_json("label"))).alias("bytes"))
+    row = counts.agg(F.sum("n"), F.max("n"), F.sum("bytes")).first()
+    return row[0] or 0, row[1] or 0, row[2] or 0
 
 
 def _best(x: Column, y: Column, candidates: Column, radius: float, order: Sequence[str]) -> Column:
@@ -113,22 +102,21 @@ def nearest_within(
         raise ValueError("radius must be positive")
     x, y = point_xy
     placed = _unique(_placed(labels, *label_xy, order, list(carry)), order)
-    stats = _crowding(placed, radius, 1)
+    n, fullest, nbytes = _crowding(placed, radius)
     label_type = placed.schema["label"].dataType
 
     def outputs(best: Column) -> dict[str, Column]:
         out = {new: best["label"][old] for old, new in carry.items()}
         return {**out, distance_column: best["dist"]}
 
-    if not stats:
+    if not n:
         nulls = {new: F.lit(None).cast(label_type[old].dataType) for old, new in carry.items()}
         return points.withColumns({**nulls, distance_column: F.lit(None).cast("double")})
 
-    if stats[0]["fullest"] <= crowd:
+    if fullest <= crowd:
         # Before pruning a cell holds at most the labels of the crowd-checked cells around it.
         blocks = _blocks(placed, radius)
-        copies = LOOKUP_COPIES * stats[0]["n"]
-        blocks = limit.joinable(blocks, copies, LOOKUP_COPIES * (stats[0]["bytes"] + 48 * stats[0]["n"]), "blocks")
+        blocks = limit.joinable(blocks, LOOKUP_COPIES * n, LOOKUP_COPIES * (nbytes + 48 * n), "blocks")
         side, usable, salt = radius / LOOKUP_SPLIT, _usable(x, y), row_salt(points)
         cells = {a: spread_key(_cell(F.col(c), side), usable, salt) for a, c in (("_cx", x), ("_cy", y))}
         joined = points.withColumns(cells).join(blocks, ["_cx", "_cy"], "left")
@@ -137,7 +125,7 @@ def nearest_within(
             *points.columns, *carry.values(), distance_column
         )
 
-    found = _descend(points.filter(_usable(x, y)), placed, radius, x, y, order, limit, crowd)
+    found = _descend(points.filter(_usable(x, y)), placed, radius, x, y, order, limit, crowd, nbytes)
     usable, salt = _usable(x, y), row_salt(points)
     keys = {a: spread_coordinate(F.col(c), usable, salt) for a, c in (("_x", x), ("_y", y))}
     joined = points.withColumns(keys).join(landed(found, "nearest"), ["_x", "_y"], "left")
@@ -164,73 +152,83 @@ def _blocks(placed: DataFrame, radius: float) -> DataFrame:
     return blocks.select("_cx", "_cy", pruned.alias("_block"))
 
 
-def _box_distance(v: Column, c: Column, side: float, far: bool) -> Column:
+def _box_distance(v: Column, c: Column, side: float | Column, far: bool) -> Column:
     """Least or greatest distance along one axis from ``v`` to the cell's interval, widened for rounding."""
-    lo, hi = c * F.lit(side) - 1e-6 * side, (c + 1) * F.lit(side) + 1e-6 * side
+    side = F.lit(side) if isinstance(side, float) else side
+    lo, hi = c * side - 1e-6 * side, (c + 1) * side + 1e-6 * side
     if far:
         return F.greatest(F.abs(v - lo), F.abs(v - hi))
     return F.greatest(lo - v, v - hi, F.lit(0.0))
 
 
-def _cell_distance(x: Column, y: Column, cx: Column, cy: Column, side: float, far: bool) -> Column:
+def _cell_distance(x: Column, y: Column, cx: Column, cy: Column, side: float | Column, far: bool) -> Column:
     dx, dy = _box_distance(x, cx, side, far), _box_distance(y, cy, side, far)
     return F.sqrt(dx * dx + dy * dy)
 
 
-def _descend(points: DataFrame, unique: DataFrame, radius: float, x: str, y: str, order: Sequence[str], limit: BroadcastLimit, crowd: int) -> DataFrame:
-    ensure_checkpoint_dir(points.sparkSession)
-    unique = unique.checkpoint()
+NODE = ["k", "cx", "cy"]
 
-    # Probe deeper and deeper until no cell is crowded; positions are distinct, so this ends.
-    depth, stats = 2, []
-    while True:
-        stats = _crowding(unique, radius, depth)
-        if stats[-1]["fullest"] <= crowd or depth == MAX_DEPTH:
+
+def _directory(unique: DataFrame, radius: float, crowd: int) -> tuple[list[tuple[DataFrame, int]], DataFrame]:
+    """([(cells of a depth with ``split``, how many)], labels with the cell that holds them).
+
+    A cell is named by its depth and place. Each round goes over the labels of crowded cells only.
+    """
+    levels, held, rest = [], [], unique
+    for k in range(MAX_DEPTH + 1):
+        side = radius / SPLIT**k
+        placed = rest.select("*", F.lit(k).alias("k"), _cell(F.col("px"), side).alias("cx"), _cell(F.col("py"), side).alias("cy"))
+        split = (F.count("*") > crowd) & F.lit(k < MAX_DEPTH)
+        cells = landed(placed.groupBy(*NODE).agg(split.alias("split")), "cells")
+        levels.append((cells, cells.count()))
+        crowded = cells.filter("split").select(NODE)
+        if crowded.isEmpty():
+            held.append(placed)
             break
-        depth = min(depth + 2, MAX_DEPTH)
-    last = next((s["k"] for s in stats if s["fullest"] <= crowd), stats[-1]["k"])
-    side = [radius / SPLIT**k for k in range(last + 1)]
+        held.append(placed.join(crowded, NODE, "left_anti"))
+        rest = landed(placed.join(crowded, NODE, "left_semi").select(unique.columns), "crowded")
+    labels = held[0]
+    for more in held[1:]:
+        labels = labels.unionByName(more)
+    return levels, labels
 
-    def occupied(k: int) -> DataFrame:
-        return unique.select(_cell(F.col("px"), side[k]).alias("cx"), _cell(F.col("py"), side[k]).alias("cy")).distinct()
 
-    def hint(df: DataFrame, k: int) -> DataFrame:
-        return limit.hint(df, stats[k]["cells"], 64 * stats[k]["cells"])
+def _descend(
+    points: DataFrame, unique: DataFrame, radius: float, x: str, y: str, order: Sequence[str], limit: BroadcastLimit, crowd: int, nbytes: int
+) -> DataFrame:
+    ensure_checkpoint_dir(points.sparkSession)
+    unique = landed(unique, "labels")
+    levels, labels = _directory(unique, radius, crowd)
 
     # Distinct positions only: copies of a row cost one search.
     sought = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).distinct()
-    start = occupied(0)
+    top, n = levels[0]
+    start = top
     for c in ("cx", "cy"):
         start = start.withColumn(f"h{c}", _around(F.col(c)))
-    frontier = sought.withColumns({"hcx": _cell(F.col("_x"), radius), "hcy": _cell(F.col("_y"), radius)}).join(
-        limit.hint(start, 9 * stats[0]["cells"], 9 * 48 * stats[0]["cells"]), ["hcx", "hcy"]
-    ).select("_x", "_y", "cx", "cy")
-
-    for k in range(last):
-        children = (
-            occupied(k + 1)
-            .withColumnsRenamed({"cx": "nx", "cy": "ny"})
-            .withColumns({"cx": F.floor(F.col("nx") / SPLIT).cast("bigint"), "cy": F.floor(F.col("ny") / SPLIT).cast("bigint")})
-        )
-        step = frontier.join(hint(children, k + 1), ["cx", "cy"]).select("_x", "_y", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
-        at = [F.col(c) for c in ("_x", "_y", "cx", "cy")]
-        near, far = (_cell_distance(*at, side[k + 1], f) for f in (False, True))
-        reach = F.min(far).over(Window.partitionBy("_x", "_y"))
-        frontier = (
-            step.select("*", near.alias("_near"), reach.alias("_reach"))
-            .filter(F.col("_near") <= F.least("_reach", F.lit(float(radius) * (1 + 1e-9))))
-            .select("_x", "_y", "cx", "cy")
-        )
-        frontier = frontier.checkpoint()
-
-    leaves = (
-        unique.groupBy(_cell(F.col("px"), side[last]).alias("cx"), _cell(F.col("py"), side[last]).alias("cy"))
-        .agg(F.collect_list(F.struct("px", "py", "label")).alias("_block"))
-    )
-    leaves = limit.joinable(leaves, stats[last]["n"], stats[last]["bytes"] + 48 * stats[last]["n"], "leaves")
+    homes = sought.withColumns({"hcx": _cell(F.col("_x"), radius), "hcy": _cell(F.col("_y"), radius)})
+    frontier = homes.join(limit.hint(start, 9 * n, 9 * 56 * n), ["hcx", "hcy"]).select("_x", "_y", *NODE, "split")
+
+    side = F.lit(float(radius)) / F.pow(F.lit(float(SPLIT)), F.col("k"))
+    at = [F.col(c) for c in ("_x", "_y", "cx", "cy")]
+    near, far = (_cell_distance(*at, side, f) for f in (False, True))
+    reach = F.min(far).over(Window.partitionBy("_x", "_y"))
+    for cells, n in levels[1:]:
+        parents = {c: F.floor(F.col(f"n{c}") / SPLIT).cast("bigint") for c in ("cx", "cy")}
+        children = cells.select(F.col("k").alias("nk"), F.col("cx").alias("ncx"), F.col("cy").alias("ncy"), F.col("split").alias("nsplit"))
+        children = children.withColumns({**parents, "k": F.col("nk") - 1})
+        opened = frontier.filter("split").join(limit.hint(children, n, 72 * n), NODE)
+        opened = opened.select("_x", "_y", F.col("nk").alias("k"), F.col("ncx").alias("cx"), F.col("ncy").alias("cy"), F.col("nsplit").alias("split"))
+        step = frontier.filter("not split").unionByName(opened).select("*", near.alias("_near"), reach.alias("_reach"))
+        kept = step.filter(F.col("_near") <= F.least("_reach", F.lit(float(radius) * (1 + 1e-9))))
+        frontier = kept.select("_x", "_y", *NODE, "split").checkpoint()
+
+    leaves = labels.groupBy(*NODE).agg(F.collect_list(F.struct("px", "py", "label")).alias("_block"))
+    total = unique.count()
+    leaves = limit.joinable(leaves, total, nbytes + 48 * total, "leaves")
     best = _best(F.col("_x"), F.col("_y"), F.col("_block"), radius, order)
     return (
-        frontier.join(leaves, ["cx", "cy"])
+        frontier.join(leaves, NODE)
         .select("_x", "_y", best.alias("_best"))
         .filter(F.col("_best").isNotNull())
         .groupBy("_x", "_y")

@@ -77,6 +77,33 @@ def test_crowded_cells_descend(spark, limit):
     check(spark, points, labels, crowd=8, limit=limit)
 
 
+def test_a_crowd_costs_cells_only_where_it_is(spark):
+    """100,000 labels in one spot among a million sparse ones raise the number of leaves by less than one in a hundred."""
+    from placeweave.operators.nearest import _directory
+
+    sparse = spark.range(1_000_000).selectExpr("(id % 1000) * 1600D + 800D px", "floor(id / 1000) * 1600D + 800D py")
+    dense = spark.range(100_000).selectExpr("400000D + pmod(xxhash64(id), 100000) / 1000 px", "400000D + pmod(hash(id), 100000) / 1000 py")
+
+    def leaves(labels):
+        levels, held = _directory(labels, R, 256)
+        assert held.groupBy("k", "cx", "cy").count().selectExpr("max(count)").first()[0] <= 256
+        assert held.count() == labels.count()
+        return sum(cells.filter("not split").count() for cells, _ in levels)
+
+    alone = leaves(sparse)
+    assert alone <= leaves(sparse.unionByName(dense.distinct())) < 1.01 * alone
+
+
+def test_labels_closer_than_any_even_grid(spark):
+    """Crowds of very different densities: each is divided to its own depth."""
+    rnd = random.Random(8)
+    labels = [(i, 700 + rnd.random() * 1e-6, 700 + rnd.random() * 1e-6) for i in range(60)]
+    labels += [(100 + i, 5000 + rnd.random(), 5000 + rnd.random()) for i in range(60)] + [(300, 9000.0, 9000.0)]
+    points = [(i, 700 + rnd.random() * 2e-6, 700 + rnd.random() * 2e-6) for i in range(30)]
+    points += [(50 + i, 5000 + 2 * rnd.random(), 5000 + 2 * rnd.random()) for i in range(30)] + [(99, 9500.0, 9500.0), (98, 1500.0, 1500.0)]
+    check(spark, points, labels, crowd=4)
+
+
 def test_no_labels(spark):
     got = run(spark, [(0, 1.0, 1.0)], []).collect()
     assert len(got) == 1 and got[0].name is None and got[0].dist is None
