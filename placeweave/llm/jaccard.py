@@ -9,7 +9,8 @@ Only links between different components matter, so every list of groups is first
 what then still is in different components is compared pair by pair. Nothing is skipped and no list is capped.
 
 Ids are longs; a row without an id belongs to no pair and has no component. Rows that repeat an id are judged each by its
-own text. Null, empty and wordless texts have empty sets, link with nothing and are their own component.
+own text. Null, empty and wordless texts have empty sets, link with nothing and are their own component. Texts of any length
+are read whole. An empty table gives an empty result, and columns beside the two named are not read, whatever their names.
 """
 
 from __future__ import annotations

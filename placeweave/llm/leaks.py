@@ -7,7 +7,9 @@ whatever is retrieved is then verified by the share of the question's five-word
 
 Statistics cover all items; they are made by Spark and read in blocks of ``Settings.block_items`` items, each block's
 index broadcast after its size was checked, every text meeting every block. Items without words are never found; null
-texts have no passages; repeated items are found one by one and repeated texts alike.
+texts have no passages; texts of any length are searched whole; repeated items are found one by one and repeated texts
+alike; without documents, or without items, there are no pairs. Pairs carry the columns named here only, so other columns
+of the documents cannot clash; ``without_leaks`` keeps every column as it is.
 """
 
 from __future__ import annotations

@@ -3,7 +3,9 @@
 Every version of every path is addressed by the SHA-256 of its text. The ledger says which rules have read which blob;
 a run reads only blobs that lack a rule, each once however many paths hold it, and its findings go back to all paths.
 
-A null text is the empty blob. Rows that repeat give their result once each. Ledger rows of unknown rules are ignored.
+A null text is the empty blob, texts of any length are read whole, and rows that repeat give their result once each. Ledger
+rows of unknown rules are ignored. An empty table gives an empty result and leaves the ledger as it is. Columns named
+``blob`` or ``found`` are replaced by the operator's own; all others are carried along.
 """
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ marks), of its attribute tokens, of its depth and of its siblings. Gradient-boos
 out at random by ``layouts``, say how likely a node holds main text. Decoding picks the likeliest labelling of the whole
 tree in which a node is kept only below kept nodes and a kept node has something kept below it.
 
-A null or empty page has empty text; a page cut off anywhere is read as far as it goes. Text is never dropped by length.
+A null or empty page has empty text; a page cut off anywhere is read as far as it goes. Text is never dropped by length, and
+pages that repeat give the same text each time. An empty table gives an empty result. Other columns are carried along; a
+column named ``text`` is replaced.
 """
 
 from __future__ import annotations

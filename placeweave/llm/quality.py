@@ -5,8 +5,10 @@ capitals). A truncated singular value decomposition of a bounded labelled sample
 vectors are broadcast; every text is held against all of them in blocks of exact cosines, and its nearest neighbours
 vote with weights that grow with similarity.
 
-The model is bounded by ``Settings``: at most ``per_class`` labelled texts of either label. Null and wordless texts score
-0. Without labelled rows every score is 0.5. Repeated rows score alike; labelled ids that occur twice count twice.
+The model is bounded by ``Settings``: at most ``per_class`` labelled ids of either label, one text each (of several, the
+least). Null and wordless texts score 0. Without labelled rows every score is 0.5. Repeated rows score alike; texts of any
+length are read whole; of neighbours that tie for the last place any may vote. An empty table gives an empty result. Other
+columns are carried along, one named like the score is replaced.
 """
 
 from __future__ import annotations

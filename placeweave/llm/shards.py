@@ -5,7 +5,8 @@ still part when one key alone is above the limit. A bucket is a prefix of the ad
 the limit or when it holds a single row, which no further bit can make smaller; such a shard is marked ``oversized``.
 
 Texts are measured in UTF-8 bytes; a null text has none, a null key hashes like an empty one. Rows that repeat are
-placed one by one. An empty table has no shards.
+placed one by one, and a text of any length is one row. An empty table has no shards. Columns beside key and text are not
+read by ``shard``; ``write_shards`` replaces a column named ``shard`` and carries the others along.
 """
 
 from __future__ import annotations
