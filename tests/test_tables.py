@@ -43,6 +43,26 @@ def test_landing(spark, tmp_path):
     assert prints["c.zip"] == hashlib.md5(b"abc").hexdigest()
 
 
+def test_digests_of_large_files_are_streamed(spark, tmp_path):
+    import random
+
+    rnd = random.Random(2)
+    contents = {
+        "a.bin": rnd.randbytes(50_000), "b.txt": b"line\n" * 9000, "c.txt": b"\n" * 5000, "d.txt": b"x" * 5000, "e [1].txt": b"a\nb" * 2000 + b"\n\n",
+        "small.txt": b"a\n", "packed.gz": rnd.randbytes(9000), "wrong.json": b"\xff\xfe\n" * 3000 + b"\r",
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = {r["path"].rsplit("/", 1)[1]: (r["length"], r["file_md5"]) for r in L.file_fingerprints(spark, str(tmp_path), 4096).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    from urllib.parse import unquote
+
+    assert {unquote(k): v for k, v in got.items()} == {k: (len(v), hashlib.md5(v).hexdigest()) for k, v in contents.items()}
+
+
 def test_profiles(spark):
     rows = [("f1", '{"a":1,"b":2}'), ("f1", '{"a":1}'), ("f1", "{}"), ("f2", '{"c":null,"a":{"x":1}}'), ("f2", None)]
     df = spark.createDataFrame(rows, "path string, properties string")
