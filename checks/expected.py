@@ -207,3 +207,7 @@ def district_lookup(text: str) -> str:
     key = f"replace(upper(trim({text})), 'DIST.', 'DISTRICT')"
     collapsed = f"trim(regexp_replace({key}, '[^A-Z0-9一-鿿]+', ' ', 'g'))"
     return f"coalesce({find(key)}, {find(collapsed)})"
+
+
+# Fixed value: Unicode white space, as a class of the checking engine's patterns.
+WHITE_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
