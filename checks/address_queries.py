@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from placeweave.functions import address as A
-from placeweave.operators.dedup import dedup_key as dedup_key_of, first_wins
+from placeweave.operators.dedup import dedup_key as dedup_key_of, first_wins, first_wins_late
 from placeweave.operators.profile import fill_rates as fill_rates_of
 from placeweave.plans.canonicalize import canonicalize as canonicalize_features
 from placeweave.plans.canonicalize import canonicalize_feature as canonicalize_rows
 from placeweave.plans.canonicalize import canonicalize_files, parse_features, resolve_features
 from placeweave.schemas import CANONICAL
-from placeweave.session import scratch_path
+from placeweave.session import landed, scratch_path
 from placeweave.sources.canonical import read_canonical, write_canonical
 from placeweave.sources.geojson import scan_feature_lines as read_feature_lines, scan_features
 
@@ -158,6 +158,13 @@ def dedup_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_wins(rows, "dedup_key", ["path", "pos"]).select("k", "dedup_key")
 
 
+@query(f"SELECT k, {X.DEDUP_KEY} AS dedup_key FROM ({X.canonical('path, pos')})")
+def dedup_first_wins_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, found by digests and places alone and read again from the stored table."""
+    rows = canonicalize_rows(address_features(spark, sf_dir)).select("k", "path", "pos", _key().alias("dedup_key"))
+    return first_wins_late(landed(rows, "rows"), "dedup_key", ["path", "pos"]).select("k", "dedup_key")
+
+
 @query(f"SELECT {X.CANONICAL_COLUMNS} FROM ({X.canonical('k')})")
 def canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collections on disk, read by line -> canonical table; file order is ``k`` order."""

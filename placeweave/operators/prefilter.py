@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BITS_PER_KEY = 16
 #: 32 MB in all, in rows of 4 KB.
@@ -44,11 +44,15 @@ def with_maybe(df: DataFrame, keys: DataFrame, on: Sequence[str], n: int, most_b
         return df.withColumn(MAYBE, F.lit(True))
     held = bitmap(keys, on, bits)
     placed = df.withColumns({"_at": _slot(on, bits), "_bucket": F.bitmap_bucket_number(_slot(on, bits))})
-    position = F.bitmap_bit_position("_at")
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    bit = F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(F.lit(1))
     joined = placed.join(F.broadcast(held), "_bucket", "left")
-    return joined.withColumn(MAYBE, F.coalesce(bit == 1, F.lit(False))).select(*df.columns, MAYBE)
+    return joined.withColumn(MAYBE, F.coalesce(is_set("_bits", "_at"), F.lit(False))).select(*df.columns, MAYBE)
+
+
+def is_set(bits: str, number: str) -> Column:
+    """Whether a row of a bitmap has the bit of a number that falls into it."""
+    position = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def only_possible(df: DataFrame, keys: DataFrame, on: Sequence[str], n: int, most_bits: int = MOST_BITS) -> DataFrame:

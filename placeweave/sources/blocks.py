@@ -29,8 +29,8 @@ SEPARATOR = "}"
 #: Depth inside the wanted list: the document is 1, the list 2, an item 3.
 LIST, ITEM = 2, 3
 STATE_BYTES = 200
-#: The place of an item that crosses its block's end: behind all others of the block.
-CROSSING = 1 << 61
+#: The place of an item that crosses its block's end: behind all others of the block, as places stay below 2 ** 33.
+CROSSING = (1 << 33) - 2
 
 _QUOTE, _SLASH, _COLON, _COMMA = b'"\\:,'
 _OPEN, _CLOSE = b"{[", b"}]"
