@@ -422,6 +422,8 @@ def near_components(
     def joined(label: DataFrame | None, pairs: DataFrame) -> DataFrame:
         links = sets.linked(pairs)
         if label is not None:
+            if links.isEmpty():
+                return label
             links = links.unionByName(label.select(F.col("id").alias("a"), F.col("component").alias("b")))
         return store(components(links), "label")
 
