@@ -14,9 +14,10 @@ from __future__ import annotations
 import base64
 import gc
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import accumulate, chain
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -27,6 +28,8 @@ from placeweave.llm.store import Shared
 CACHE_ENTRIES = 300_000
 BLOCK_BYTES = 1_500_000
 WORDS_AT_ONCE = 50_000
+#: Ids are kept as packed integers of this size.
+ID_BYTES = 4
 #: Bytes of a word that are hashed by table; longer words are digested one by one.
 SHORT = 64
 
@@ -118,6 +121,7 @@ class Codec:
     model: bytes
     pattern: str
     known: dict = field(default_factory=dict)
+    spelled: dict = field(default_factory=dict)
     tools: tuple = ()
 
     def _tools(self):
@@ -138,10 +142,10 @@ class Codec:
 
     def __setstate__(self, state):
         self.tokens, self.model, self.pattern = state
-        self.known, self.tools = {}, ()
+        self.known, self.spelled, self.tools = {}, {}, ()
 
-    def _learn(self, pieces: list[str]) -> dict[str, tuple]:
-        """Ids of pre-tokens: a pre-token that is itself a token is that token, the rest are merged."""
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens, as packed integers: a pre-token that is itself a token is that token, the rest are merged."""
         _, processor, whole, letters = self._tools()
         # All pieces are mapped in one go, parted by a zero byte, unless one of them holds such a byte.
         mapped = "\0".join(pieces).encode("utf-8", "replace").decode("latin-1").translate({**letters, 0: "\n"}).split("\n")
@@ -150,7 +154,10 @@ class Codec:
         ranks = list(map(whole.get, mapped))
         open_ = [m for m, rank in zip(mapped, ranks, strict=True) if rank is None]
         merged = iter(processor.encode(open_, out_type=int, num_threads=1) if open_ else ())
-        return {p: tuple(next(merged)) if rank is None else (rank,) for p, rank in zip(pieces, ranks, strict=True)}
+        every = [next(merged) if rank is None else (rank,) for rank in ranks]
+        packed = array("i", chain.from_iterable(every)).tobytes()
+        ends = list(accumulate(map(len, every), initial=0))
+        return {p: packed[ID_BYTES * a : ID_BYTES * b] for p, a, b in zip(pieces, ends, ends[1:])}
 
     def encode_many(self, texts: Iterable[str]) -> Iterator:
         """Ids of each text as an array."""
@@ -184,27 +191,34 @@ class Codec:
         starts = word_starts(data, ends)
         stops = np.append(starts[1:], len(data))
         names, first, back = np.unique(word_names(data, starts, stops), return_index=True, return_inverse=True)
-        ids = self._remember(names.tolist(), starts[first], stops[first], data.data)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
+        ids = self._remember(names.tolist(), starts[first], stops[first], data)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
+        flat = np.frombuffer(b"".join(ids), np.int32)
         out = spread(flat, np.cumsum(sizes) - sizes, sizes, back)
         after = np.append(0, np.cumsum(sizes[back]))
         bounds = after[np.searchsorted(starts, np.append(0, ends))]
         for a, b in zip(bounds, bounds[1:], strict=False):
             yield out[a:b]
 
-    def _remember(self, names: list[int], starts, stops, data: memoryview) -> list[tuple]:
-        """Ids of the words of these names; words are read from ``data`` only where their name is new."""
+    def _remember(self, names: list[int], starts, stops, data) -> list[bytes]:
+        """Ids of the words of these names; words are read from ``data`` as text only where they are new."""
+        import numpy as np
+
         if len(self.known) + len(names) > CACHE_ENTRIES:
             self.known = {name: self.known[name] for name in names if name in self.known}
-        known, found, new = self.known, [], []
-        for i, (name, a, b) in enumerate(zip(names, starts.tolist(), stops.tolist(), strict=True)):
-            held = known.get(name)
-            # A word's bytes are kept beside its ids: an equal name alone is no proof.
-            found.append(held[1] if held and held[0] == data[a:b] else None)
-            if found[-1] is None:
-                new.append(i)
-        words = [str(data[a:b], "utf-8") for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
+            self.spelled = {name: self.spelled[name] for name in self.known}
+        known, spelled = self.known, self.spelled
+        found = list(map(known.get, names))
+        seen = [i for i, ids in enumerate(found) if ids is not None]
+        # Words are kept beside their ids, as an equal name alone is no proof. All bytes are compared at once.
+        if seen:
+            told = [spelled[names[i]] for i in seen]
+            if spread(data, starts, stops - starts, np.array(seen)).tobytes() != "".join(told).encode():
+                for i, word in zip(seen, told, strict=True):
+                    if word.encode() != data[starts[i] : stops[i]].tobytes():
+                        found[i] = None
+        new, view = [i for i, ids in enumerate(found) if ids is None], data.data
+        words = [str(view[a:b], "utf-8") for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
         split = self._tools()[0]
         # Letters alone, or after one space, are a pre-token wherever the pattern takes them so.
         plain = split(" ab") == [" ab"] and split("ab") == ["ab"]
@@ -214,10 +228,10 @@ class Codec:
         ids = self._learn(list(pieces))
         for word, several in parts.items():
             if len(several) != 1:
-                ids[word] = tuple(chain.from_iterable(map(ids.__getitem__, several)))
+                ids[word] = b"".join(map(ids.__getitem__, several))
         for i, word in zip(new, words, strict=True):
-            found[i] = ids[word]
-            known[names[i]] = word.encode(), ids[word]
+            found[i] = known[names[i]] = ids[word]
+            spelled[names[i]] = word
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -274,13 +288,13 @@ def word_names(data, starts, stops):
     random, out = _hash_table(), np.empty(len(starts), np.uint64)
     for low in range(0, len(starts), WORDS_AT_ONCE):
         a, b = starts[low : low + WORDS_AT_ONCE], stops[low : low + WORDS_AT_ONCE]
-        sizes = b - a
-        place = np.arange(a[0], b[-1], dtype=np.int64)
-        place -= np.repeat(a, sizes)
+        sizes, first = b - a, a[0]
+        place = np.arange(b[-1] - first, dtype=np.int32)
+        place -= np.repeat((a - first).astype(np.int32), sizes)
         np.minimum(place, SHORT - 1, out=place)
         place <<= 8
-        place += data[a[0] : b[-1]]
-        x = np.add.reduceat(random[place], a - a[0]) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        place += data[first : b[-1]]
+        x = np.add.reduceat(random.take(place), a - first) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for i in np.flatnonzero(sizes > SHORT).tolist():
             x[i] = int.from_bytes(blake2b(data[a[i] : b[i]], digest_size=8).digest(), "little")
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)

@@ -89,12 +89,13 @@ def _block_words(data):
         return np.zeros(0, np.uint64), starts
     small = lower[data]
     first = starts[0]
-    place = np.arange(first, len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+    place = np.arange(len(data) - first, dtype=np.int32)
+    place -= np.repeat((starts - first).astype(np.int32), np.diff(starts, append=len(data)))
     np.minimum(place, SHORT - 1, out=place)
     place <<= 8
     place += small[first:]
     sizes = ends - starts
-    sums = np.add.reduceat(random[place], starts - first) + sizes.astype(np.uint64)
+    sums = np.add.reduceat(random.take(place), starts - first) + sizes.astype(np.uint64)
     for i in np.flatnonzero(sizes > SHORT).tolist():
         sums[i] = int.from_bytes(blake2b(small[starts[i] : ends[i]], digest_size=8).digest(), "little")
     return _mix(sums), starts
