@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from placeweave.llm.graph import components
 from placeweave.llm.store import Shared, store
 
+#: What products of unit vectors lose in double precision: pairs at the threshold itself must not fall below it.
+ROUNDING = 1e-15
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -169,6 +172,23 @@ def distances(x, y):
     return np.sqrt(np.maximum(0, 2 - 2 * (x @ y.T)))
 
 
+def joined(hit):
+    """For each row and column of a block of links, the least row linked with it directly or through others of the block."""
+    import numpy as np
+
+    n = len(hit)
+    row = np.arange(n)
+    while True:
+        column = np.where(hit, row[:, None], n).min(axis=0)
+        least = np.minimum(row, np.where(hit, column[None, :], n).min(axis=1))
+        # What a row has learnt passes to the row that named it before, so chains shorten by leaps.
+        np.minimum.at(least, row, least.copy())
+        least = least[least]
+        if (least == row).all():
+            return row, column
+        row = least
+
+
 def near_pairs(x, paths_x, y, paths_y, weights_x, weights_y, ids_x, ids_y, same: bool, settings: Settings):
     """Links of two chunks: for each point the weight of those it links with, and a forest of its links (a, b)."""
     import numpy as np
@@ -181,7 +201,7 @@ def near_pairs(x, paths_x, y, paths_y, weights_x, weights_y, ids_x, ids_y, same:
     def found(a, b):
         for low in range(0, len(a), step):
             rows = a[low : low + step]
-            hit = x[rows] @ y[b].T >= settings.cosine
+            hit = x[rows] @ y[b].T >= settings.cosine - ROUNDING
             if same:
                 # A pair of nodes is seen once; within one node, each pair of points once.
                 hit &= rows[:, None] < b[None, :] if len(a) == len(b) and (a == b).all() else rows[:, None] != b[None, :]
@@ -189,11 +209,11 @@ def near_pairs(x, paths_x, y, paths_y, weights_x, weights_y, ids_x, ids_y, same:
                 continue
             np.add.at(links_x, rows, hit @ weights_y[b])
             np.add.at(links_y, b, weights_x[rows] @ hit)
-            # Enough edges to keep what is connected connected: each row with its first, each column with its first.
-            i = np.flatnonzero(hit.any(axis=1))
-            edges.append(np.stack([ids_x[rows[i]], ids_y[b[hit[i].argmax(axis=1)]]], axis=1))
-            j = np.flatnonzero(hit.any(axis=0))
-            edges.append(np.stack([ids_y[b[j]], ids_x[rows[hit[:, j].argmax(axis=0)]]], axis=1))
+            # Enough edges to keep what is connected connected: each row and column with one row of its component.
+            row, column = joined(hit)
+            i, j = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+            edges.append(np.stack([ids_x[rows[i]], ids_x[rows[row[i]]]], axis=1))
+            edges.append(np.stack([ids_y[b[j]], ids_x[rows[column[j]]]], axis=1))
 
     tree = build(x, paths_x)
     traverse(x, tree, y, tree if same else build(y, paths_y), same, settings, found)

@@ -180,6 +180,63 @@ def test_vectors_without_ids_name_no_component(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_links_of_a_block_join_whatever_they_connect():
+    # Row 1 and column 1 link, but neither is the other's first: without that link there would be two components.
+    hit = np.array([[0, 1], [1, 1]], bool)
+    row, column = covertree.joined(hit)
+    assert (row.tolist(), column.tolist()) == ([0, 0], [0, 0])
+    r = np.random.default_rng(6)
+    for n, m, share in [(40, 50, 0.02), (60, 60, 0.03), (30, 90, 0.01), (80, 20, 0.2)] * 5:
+        hit = r.random((n, m)) < share
+        tree = Union(n + m)
+        for i, j in zip(*np.nonzero(hit), strict=True):
+            tree.join(i, n + j)
+        row, column = covertree.joined(hit)
+        assert row.tolist() == [tree.find(i) for i in range(n)]
+        assert [c for c in column if c < n] == [tree.find(n + j) for j in range(m) if hit[:, j].any()]
+    path = np.zeros((600, 600), bool)
+    order = r.permutation(600)
+    path[order, order] = path[order[1:], order[:-1]] = True
+    assert not covertree.joined(path)[0].any()
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_links_of_chunks_join_whatever_they_connect(same):
+    step, n, r = np.arccos(0.985), 12, np.random.default_rng(7)
+    for _ in range(50):
+        turns = r.permutation(n) * step
+        points = np.stack([np.cos(turns), np.sin(turns)], axis=1)
+        sides = [np.arange(n)] * 2 if same else [np.flatnonzero(np.round(turns / step) % 2 == k) for k in (0, 1)]
+        flat = [np.zeros((len(s), 1), np.int64) for s in sides]
+        ones = [np.ones(len(s), np.int64) for s in sides]
+        x, y = (points[s] for s in sides)
+        _, _, edges = covertree.near_pairs(x, flat[0], y, flat[1], *ones, *sides, same, covertree.Settings())
+        tree = Union(n)
+        for a, b in edges:
+            tree.join(a, b)
+        assert {tree.find(i) for i in range(n)} == {0}
+
+
+def test_chains_of_vectors_between_two_nodes_are_one_component(spark):
+    # Points along an arc, each linked with its neighbours only, dealt in turn over two sides.
+    step = np.arccos(0.985)
+    for n in (8, 24):
+        turns = [(k * 7) % n for k in range(n)]
+        vectors = [[float(np.cos(t * step)), float(np.sin(t * step))] for t in turns]
+        rows = [(k, v, 1, "k") for k, v in enumerate(vectors)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, point string")
+        got = covertree.near_copies(df, covertree.Settings(chunk=4, small=2))
+        assert sorted(tuple(x) for x in got.collect()) == brute_vectors(rows, 0.98)
+
+
+def test_vectors_at_the_threshold_link(spark):
+    # (49, 9, 3, 3) is 50 long: its cosine with the first axis is the threshold to the last digit.
+    rows = [(1, [1.0, 0.0, 0.0, 0.0], 1), (2, [49.0, 9.0, 3.0, 3.0], 1), (3, [0.0, 0.0, 1.0, 0.0], 1), (4, [3.0, 9.0, 49.0, 3.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(x) for x in covertree.near_copies(df).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False)]
+
+
 def test_cover_tree_levels_are_nested_and_halve():
     r = np.random.default_rng(5)
     points = r.standard_normal((300, 6))
