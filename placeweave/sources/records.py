@@ -29,6 +29,9 @@ FRAME = (
 KINDS = {"feature": ("Feature",), "element": ("node", "way", "relation")}
 MEMBERS = {"feature": "features", "element": "elements"}
 
+# Never part of a JSON document, which holds no bare control characters.
+NO_SEPARATOR = "\x00\x1e\x1f\x00"
+
 _LIST_OPENS = r'(?s)"(features|elements)"\s*:\s*\[\s*(\].*)?$'
 # What follows the last record of a printed document.
 _TAILS = {"indent": r"(?s)(\n    \})\s*\n  \].*$", "native": r"(?s)(\n\})\s*\n\s*\].*$"}
@@ -106,18 +109,40 @@ def rejects(spark: SparkSession, paths, kind: str, layout: str = "line", recursi
     return pieces(spark, paths, kind, layout, recursive_glob).filter("part = 'reject'").drop("part")
 
 
+def _other_files(spark: SparkSession, found: list[str], recursive_glob: str | None) -> list[str]:
+    """Files that are packed, or not UTF-8 by what they begin with: a byte order mark or the zero bytes of wider units."""
+    path = F.col("_metadata.file_path")
+    whole = reader(spark, recursive_glob).option("lineSep", NO_SEPARATOR).text(found)
+    head = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
+    packed = path.rlike(r"(?i)\.(gz|bz2|zst|lz4|snappy|deflate)$")
+    return [r[0] for r in whole.filter(packed | head.rlike("^(FEFF|FFFE|00|..00)")).select(path).distinct().collect()]
+
+
 def documents(spark: SparkSession, schema, paths, member: str, recursive_glob: str | None = None, strict: bool = True) -> DataFrame:
     """(path, <member>) of whole documents, one task each.
 
     A document that is not JSON, or has a member of another type than the schema's, stops a strict scan; otherwise it gives
-    what could be read of it.
+    what could be read of it. Documents are read as lines that nothing ends, so members kept as JSON text are cut out of
+    memory: Spark's reader of several lines goes back to the file for each of them. Only packed files, which it reads once,
+    and those in other encodings than UTF-8 are left to it.
     """
     found = existing_paths(spark, paths)
     kept = schema.add("_unread", "string") if "_unread" not in schema.names else schema
     if not found:
         return spark.createDataFrame([], kept).select(F.lit("").alias("path"), member)
-    source = reader(spark, recursive_glob).schema(kept).option("multiLine", True).option("columnNameOfCorruptRecord", "_unread")
-    rows = source.json(found).select(F.col("_metadata.file_path").alias("path"), member, "_unread")
+
+    def read(option: str, value, only: Column | None = None) -> DataFrame:
+        source = reader(spark, recursive_glob).schema(kept).option(option, value).option("columnNameOfCorruptRecord", "_unread")
+        files = source.json(found)
+        files = files if only is None else files.filter(only)
+        return files.select(F.col("_metadata.file_path").alias("path"), member, "_unread")
+
+    other = _other_files(spark, found, recursive_glob)
+    if other:
+        is_other = F.col("_metadata.file_path").isin(other)
+        rows = read("lineSep", NO_SEPARATOR, ~is_other).unionByName(read("multiLine", True, is_other))
+    else:
+        rows = read("lineSep", NO_SEPARATOR)
     if not strict:
         return rows.drop("_unread")
     broken = F.col("_unread").isNotNull()

@@ -207,3 +207,34 @@ def test_order_comes_from_the_scan(spark, tmp_path):
         assert [r.building_eng for r in canonicalize_files(spark, path, layout="line").collect()] == ["B0"]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def _feature(i: int) -> str:
+    return '{"type":"Feature","geometry":{"type":"Point","coordinates":[1e2, %d]},"properties":{"a" : 1.0e5,"名":"%s"}}' % (i, "é" * 50)
+
+
+def test_whole_documents_are_read_once_and_keep_their_text(spark, tmp_path):
+    text = '{"type":"FeatureCollection","features":[\n' + ",\n".join(_feature(i) for i in range(400)) + "]}"
+    path = tmp_path / "one.geojson"
+    path.write_text(text, encoding="utf8")
+    told = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    scan = scan_features(spark, str(path))
+    before = told.getLong("bytesRead")
+    rows = scan.orderBy("pos").collect()
+    assert told.getLong("bytesRead") - before < 3 * path.stat().st_size
+    assert [(r.pos, r.geometry.coordinates) for r in rows] == [(i, f"[1e2, {i}]") for i in range(400)]
+    assert {r.properties for r in rows} == {'{"a" : 1.0e5,"名":"%s"}' % ("é" * 50)}
+
+
+def test_documents_in_other_encodings_are_not_misread(spark, tmp_path):
+    """They stop a strict scan beside readable ones; lists of documents and byte order marks read as ever."""
+    text = '{"features":[' + _feature(1) + "]}"
+    (tmp_path / "mark.geojson").write_bytes(b"\xef\xbb\xbf" + text.encode())
+    (tmp_path / "list.geojson").write_text(f"[{text}, {text}]", encoding="utf8")
+    (tmp_path / "empty.geojson").write_text("")
+    assert sorted(r.geometry.coordinates for r in scan_features(spark, str(tmp_path / "*.geojson")).collect()) == ["[1e2, 1]"] * 3
+    (tmp_path / "wide.geojson").write_bytes(text.encode("utf-16-le"))
+    with pytest.raises(Exception, match="unreadable document"):
+        scan_features(spark, str(tmp_path / "*.geojson")).collect()
+    loose = scan_features(spark, str(tmp_path / "*.geojson"), strict=False).collect()
+    assert sorted(str(r.geometry.coordinates) for r in loose) == ["None", "[1e2, 1]", "[1e2, 1]", "[1e2, 1]"]
