@@ -14,6 +14,11 @@ from placeweave.session import scratch_path
 
 FEATURES_PER_FILE = 2000
 
+# Rows of a table that one task makes inputs from, and the most tasks for one table.
+ROWS_PER_TASK = 1 << 14
+DOCUMENTS_PER_TASK = 1 << 12
+MOST_TASKS = 1024
+
 # One row per address with everything that goes into its feature, and which shape each polymorphic member takes.
 PREMISES = """
 SELECT c_custkey AS k,
@@ -159,8 +164,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The same rows over as many tasks as their number asks for: a row group of a file is read by one task, however many
+    rows it holds, and everything made from its rows would stay in that task. Counting reads no columns."""
+    n = min(-(-rows.count() // per_task), MOST_TASKS)
+    return rows.repartition(n) if n > 1 else rows
+
+
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in fields(sql)})
+    return spark.sql(sql, **{name: spread(table(spark, sf_dir, name)) for name in fields(sql)})
 
 
 def plain(sql: str) -> str:
