@@ -125,6 +125,9 @@ def nearest_within(
             *points.columns, *carry.values(), distance_column
         )
 
+    if "void" not in points.schema.simpleString():
+        # Read twice from here on: whatever the rows are made of is worked out once.
+        points = landed(points, "points")
     found = _descend(points.filter(_usable(x, y)), placed, radius, x, y, order, limit, crowd, nbytes)
     usable, salt = _usable(x, y), row_salt(points)
     keys = {a: spread_coordinate(F.col(c), usable, salt) for a, c in (("_x", x), ("_y", y))}

@@ -153,3 +153,19 @@ def test_projection_and_distance(spark):
     assert abs(r.g.easting - 828357.91) < 0.02 and abs(r.g.northing - 840044.93) < 0.02
     step = math.hypot(r.h.easting - r.g.easting, r.h.northing - r.g.northing)
     assert abs(step - r.d) < 1 and abs(r.d - 111.19) < 0.1
+
+
+def test_rows_are_worked_out_once_when_labels_are_crowded(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def place(i):
+        seen.add(1)
+        return float(i)
+
+    points = spark.range(0, 40, 1, 2).select("id", place("id").alias("x"), F.lit(0.0).alias("y"))
+    labels = spark.range(0, 40, 1, 2).selectExpr("id AS ord", "id + 0.25D AS px", "0D AS py")
+    names = {"point_xy": ("x", "y"), "label_xy": ("px", "py"), "order": ["ord"], "carry": {"ord": "near"}, "distance_column": "d"}
+    found = nearest_within(points, labels, 10.0, **names, crowd=2).collect()
+    assert sorted((r.id, r.near, r.d) for r in found) == [(i, i, 0.25) for i in range(40)]
+    assert seen.value == 40
