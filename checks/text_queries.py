@@ -11,7 +11,7 @@ from placeweave.functions.geodesy import haversine_m as haversine
 from placeweave.functions.geodesy import hk80_grid
 
 from . import expected as X
-from .inputs import PLACES, PREMISES, derive, table
+from .inputs import DOCUMENTS_PER_TASK, PLACES, PREMISES, derive, spread, table
 from .registry import query
 
 
@@ -154,4 +154,4 @@ _WORDS = "Estate|Court|Garden|Centre|Mansion|Plaza|Tower"
 def extract_place_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     ending = F.when(F.col("doc_id") % 3 == 0, " Garden").when(F.col("doc_id") % 3 == 1, " Tower 2, Lee Plaza").otherwise("")
     text = F.concat("text", F.lit("; Flat 3, Happy "), "source", ending)
-    return table(spark, sf_dir, "documents").select("doc_id", T.extract_place_phrase(text).alias("phrase"))
+    return spread(table(spark, sf_dir, "documents"), DOCUMENTS_PER_TASK).select("doc_id", T.extract_place_phrase(text).alias("phrase"))
