@@ -21,12 +21,12 @@ from itertools import accumulate, chain
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from placeweave.llm.store import Shared
+from placeweave.llm.store import Kept, Shared
 
 # Pre-tokens whose ids a task remembers between blocks, the bytes of a block, and words hashed at once.
 # They set speed and memory only.
-CACHE_ENTRIES = 300_000
-BLOCK_BYTES = 1_500_000
+CACHE_ENTRIES = 150_000
+BLOCK_BYTES = 700_000
 WORDS_AT_ONCE = 50_000
 #: Ids are kept as packed integers of this size.
 ID_BYTES = 4
@@ -123,6 +123,7 @@ class Codec:
     known: dict = field(default_factory=dict)
     spelled: dict = field(default_factory=dict)
     tools: tuple = ()
+    last: tuple = ()
 
     def _tools(self):
         if not self.tools:
@@ -142,7 +143,7 @@ class Codec:
 
     def __setstate__(self, state):
         self.tokens, self.model, self.pattern = state
-        self.known, self.spelled, self.tools = {}, {}, ()
+        self.known, self.spelled, self.tools, self.last = {}, {}, (), ()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pre-tokens, as packed integers: a pre-token that is itself a token is that token, the rest are merged."""
@@ -319,8 +320,12 @@ def load(path: str, pattern: str) -> Codec:
 
 
 def encoder(spark: SparkSession, codec: Codec):
-    """``text -> array<int>`` for a text column; null counts as empty. The broadcast is the vocabulary file's size."""
-    shared = Shared(spark, codec)
+    """``text -> array<int>`` for a text column; null counts as empty. The broadcast is the vocabulary file's size.
+
+    Where ids are both put out and decoded, Spark calls this twice for each batch in one worker, so a worker has one codec and
+    the codec remembers its last batch.
+    """
+    shared = Kept(spark, codec)
 
     @F.arrow_udf("array<int>")
     def encode(texts):
@@ -330,13 +335,18 @@ def encoder(spark: SparkSession, codec: Codec):
         texts = texts.fill_null("")
         if not len(texts):
             return pa.array([], pa.list_(pa.int32()))
+        opened = shared.value
+        if opened.last and opened.last[0].equals(texts):
+            return opened.last[1]
+        opened.last = ()
         bounds = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)
         bounds = bounds[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-        rows = list(shared.value.encode_bytes(data, bounds))
+        rows = list(opened.encode_bytes(data, bounds))
         ends = np.cumsum([0, *map(len, rows)])
         values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+        opened.last = texts, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+        return opened.last[1]
 
     return encode
 

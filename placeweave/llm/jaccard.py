@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeweave.llm.graph import components
-from placeweave.llm.store import Shared, release, small_batches, store, text_of
+from placeweave.llm.store import Shared, freed, small_batches, store, text_of
 from placeweave.operators.sizing import BroadcastLimit
 
 BLOCK = 1 << 20
@@ -177,7 +177,6 @@ def shingle_counts(docs: DataFrame, settings: Settings, text: str = "text"):
     def count(batches):
         import pyarrow as pa
 
-        release()
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for _, texts in _texts(batch):
@@ -189,7 +188,7 @@ def shingle_counts(docs: DataFrame, settings: Settings, text: str = "text"):
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(rows[used, i]) for i in range(COLUMNS))], names=names)
 
     schema = ", ".join(["row long", *(f"c{i} long" for i in range(COLUMNS))])
-    parts = docs.select(text_of(text).alias("text")).mapInArrow(count, schema)
+    parts = docs.select(text_of(text).alias("text")).mapInArrow(freed(count), schema)
     got = parts.groupBy("row").agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(COLUMNS))).toArrow()
     total = np.zeros((1 << bits) // COLUMNS * COLUMNS, np.int64).reshape(-1, COLUMNS)
     total[got.column("row").to_numpy()] = np.stack([got.column(f"c{i}").to_numpy() for i in range(COLUMNS)], axis=1)
@@ -230,7 +229,7 @@ def prefixes(docs: DataFrame, counts, settings: Settings, doc_id: str, text: str
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "v", "n", "prefix", "sig"])
 
     rows_in = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(text).alias("text"))
-    return rows_in.mapInArrow(rows, "id long, v long, n long, prefix array<long>, sig array<long>")
+    return rows_in.mapInArrow(freed(rows), "id long, v long, n long, prefix array<long>, sig array<long>")
 
 
 def set_name(every) -> int:
@@ -257,7 +256,6 @@ class Sets:
             import numpy as np
             import pyarrow as pa
 
-            release()
             # Few texts at a time: a batch's sets together would be many times a task's share of memory.
             for batch in batches:
                 for _, texts in _texts(batch, step=128):
@@ -270,7 +268,7 @@ class Sets:
         wanted = store(self.reps.select("v", "id").join(names.distinct(), "v"), "wanted")
         rows = wanted.count()
         chosen = self.docs.join(self.limit.hint(wanted.select("id").distinct(), rows, rows * 16), "id", "left_semi")
-        made = chosen.select("text").mapInArrow(sets, "v long, set array<long>")
+        made = chosen.select("text").mapInArrow(freed(sets), "v long, set array<long>")
         if self.repeated:
             made = made.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("set").alias("set"))
         return store(made, "sets")

@@ -54,6 +54,29 @@ def test_bpe_operator_keeps_columns_and_handles_nulls(spark, codec, docs_of):
     assert empty.count() == 0 and empty.schema["ids"].dataType.simpleString() == "array<int>"
 
 
+def test_bpe_encodes_a_batch_once_where_ids_are_put_out_and_decoded(spark, codec, docs_of, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    class Counted(bpe.Codec):
+        def encode_bytes(self, data, bounds):
+            with open(calls, "a") as log:
+                log.write("x")
+            return super().encode_bytes(data, bounds)
+
+    docs = docs_of(spark, [(1, "a b"), (2, None), (3, "c d")], "data").coalesce(1)
+    got = bpe.decode_ids(bpe.encode_texts(docs, Counted(codec.tokens, codec.model, codec.pattern)), codec, data="back").collect()
+    assert [bytes(r["back"]).decode() for r in got] == ["a b", "", "c d"] and [len(r["ids"]) for r in got] == [2, 0, 2]
+    assert len(open(calls).read()) == 1
+
+
+def test_bpe_batches_after_one_another_get_their_own_ids(spark, codec):
+    import pyarrow as pa
+
+    encode = bpe.encoder(spark, codec).func
+    for texts in (["a b", "c"], ["a b", "c"], ["a b", "d"], ["c"], ["a b", "c"]):
+        assert encode(pa.array(texts)).to_pylist() == [codec.encode(t) for t in texts]
+
+
 def test_bpe_decode_of_null_ids_and_wrong_ids(spark, codec):
     df = spark.createDataFrame([([97],), (None,), ([],)], "ids array<int>")
     assert [r["data"] for r in bpe.decode_ids(df, codec).collect()][1:] == [None, b""]
