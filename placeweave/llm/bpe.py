@@ -25,8 +25,8 @@ from placeweave.llm.store import Kept, Shared
 
 # Pre-tokens whose ids a task remembers between blocks, the bytes of a block, and words hashed at once.
 # They set speed and memory only.
-CACHE_ENTRIES = 150_000
-BLOCK_BYTES = 700_000
+CACHE_ENTRIES = 75_000
+BLOCK_BYTES = 400_000
 WORDS_AT_ONCE = 50_000
 #: Ids are kept as packed integers of this size.
 ID_BYTES = 4
