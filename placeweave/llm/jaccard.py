@@ -3,10 +3,14 @@
 Shingles are 64-bit hashes of three words (or as many as the settings say), ordered by how many documents hold them (a sketch of counts over all
 documents), rarest first. Sets that reach the threshold must share a shingle among the first of either, the prefix.
 Equal sets are one document; documents of equal prefix and size are one group, and only groups meet by prefix shingle.
-Group pairs that pass bounds true of all their members are expanded to members, whose whole sets are compared.
+Group pairs that pass bounds true of all their members are expanded to members, whose whole sets are compared. Of shingles
+that the same groups hold one is kept, for they pair the same groups.
 
 Only links between different components matter, so every list of groups is first held against one of its own (its hub);
-what then still is in different components is compared pair by pair. Nothing is skipped and no list is capped.
+what then still is in different components is compared pair by pair: in each list, the groups outside its most frequent
+component with all others. Nothing is skipped and no list is capped.
+
+What is written on the way is removed as soon as nothing reads it any more.
 
 Ids are longs; a row without an id belongs to no pair and has no component. Rows that repeat an id are judged each by its
 own text. Null, empty and wordless texts have empty sets, link with nothing and are their own component. Texts of any length
@@ -22,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeweave.llm.graph import components
-from placeweave.llm.store import Shared, freed, small_batches, store, text_of
+from placeweave.llm.store import Shared, discard, freed, small_batches, store, text_of
 from placeweave.operators.sizing import BroadcastLimit
 
 BLOCK = 1 << 20
@@ -35,8 +39,9 @@ class Settings:
     percent: int = 90
     words: int = 3
     sketch_bits: int = 18
-    #: Bits of a set's signature; they set how many unlike pairs are turned away before sets are read, never which link.
-    signature_bits: int = 2048
+    #: Least bits of a set's signature, which has two for each shingle, up to the next power of two; they set how many unlike
+    #: pairs are turned away before sets are read, never which link.
+    signature_bits: int = 256
     #: Turns of comparing lists with hubs before all pairs that are left; they set speed only.
     turns: int = 4
 
@@ -201,7 +206,7 @@ def prefixes(docs: DataFrame, counts, settings: Settings, doc_id: str, text: str
     A signature's bits are parities: sets differ in at least as many shingles as their signatures differ in bits.
     """
     shared, bits, n, percent = Shared(docs.sparkSession, counts), settings.sketch_bits, settings.words, settings.percent
-    width = settings.signature_bits
+    least = max(settings.signature_bits, 64 * FOLDS)
 
     def rows(batches):
         import numpy as np
@@ -218,11 +223,12 @@ def prefixes(docs: DataFrame, counts, settings: Settings, doc_id: str, text: str
                     sizes.append(size)
                     names.append(set_name(every))
                     firsts.append(every[order[:keep]].view(np.int64))
+                    width = 1 << (max(least, 2 * size) - 1).bit_length()
                     parity = np.bincount((every % np.uint64(width)).astype(np.int64), minlength=width) & 1
                     marks.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
                 ends = np.cumsum([0, *map(len, firsts)])
                 flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts)))
-                ends = np.arange(len(marks) + 1) * (width // 64)
+                ends = np.cumsum([0, *map(len, marks)])
                 sig = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(marks)))
                 ids = batch.column("id").slice(at, len(texts))
                 arrays = [ids, pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), flat, sig]
@@ -271,21 +277,23 @@ class Sets:
         made = chosen.select("text").mapInArrow(freed(sets), "v long, set array<long>")
         if self.repeated:
             made = made.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("set").alias("set"))
-        return store(made, "sets")
+        made = store(made, "sets")
+        discard(wanted)
+        return made
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose signatures leave room for the threshold."""
-        p, (left, right) = self.settings.percent, (
+        left, right = (
             self.reps.select(F.col("v").alias(v), F.col("n").alias(f"n_{v}"), F.col("sig").alias(f"sig_{v}")) for v in ("a", "b")
         )
-        apart = F.zip_with("sig_a", "sig_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-        apart = F.aggregate(apart, F.lit(0), lambda s, x: s + x)
-        both = pairs.join(left, "a").join(right, "b")
-        return both.filter((100 + p) * apart <= (100 - p) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        near = _near(_differ("sig_a", "sig_b"), F.col("n_a"), F.col("n_b"), self.settings)
+        return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets reach the threshold."""
-        pairs = store(self._plausible(store(pairs.select("a", "b").distinct(), "met")), "pairs")
+        met = store(pairs.select("a", "b").distinct(), "met")
+        pairs = store(self._plausible(met), "pairs")
+        discard(met)
         if pairs.isEmpty():
             return pairs
         sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("v")))
@@ -294,7 +302,9 @@ class Sets:
         both = pairs.join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("x", "y"))
         alike = 100 * common >= self.settings.percent * (F.size("x") + F.size("y") - common)
-        return store(both.filter(alike).select("a", "b"), "linked")
+        links = store(both.filter(alike).select("a", "b"), "linked")
+        discard(pairs, sets)
+        return links
 
 
 def _bucket(size: str, shift: float, settings: Settings) -> Column:
@@ -335,12 +345,26 @@ def _hub_pairs(entries: DataFrame, turn: int, settings: Settings) -> DataFrame:
 
 FOLDS = 4
 
+#: Lists of more groups hold whole signatures against each other, shorter ones folded ones; it sets speed only.
+LONG = 32
+
 
-def _folded(settings: Settings) -> list[Column]:
+def _folded() -> list[Column]:
     """A signature folded to ``FOLDS`` longs: still parities of shingles, so still a bound on how many differ."""
-    longs = settings.signature_bits // 64
-    parts = [[F.get("sig", F.lit(k)) for k in range(i, longs, FOLDS)] for i in range(FOLDS)]
-    return [reduce(lambda x, y: x.bitwiseXOR(y), part).alias(f"s{i}") for i, part in enumerate(parts)]
+    zero = F.lit(0).cast("long")
+    parts = [F.filter("sig", lambda _, k: k % FOLDS == i) for i in range(FOLDS)]
+    return [F.aggregate(part, zero, lambda x, y: x.bitwiseXOR(y)).alias(f"s{i}") for i, part in enumerate(parts)]
+
+
+def _differ(a: str, b: str) -> Column:
+    """How many bits differ between two whole signatures, one with twice the bits folded to the other's; 0 where one has more still."""
+
+    def fitted(x: str, y: str) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(x))
+
+    bits = F.zip_with(fitted(a, b), fitted(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda s, x: s + x), F.lit(0))
 
 
 def _apart(a: list, b: list) -> Column:
@@ -356,33 +380,44 @@ def _near(apart: Column, na: Column, nb: Column, settings: Settings) -> Column:
 def _cross_pairs(entries: DataFrame, members: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
     """Member pairs of all group pairs that may be alike and are not yet of one component.
 
-    The bounds are part of the joins' conditions, folded signatures too: what cannot be alike is never a row. Members of a
+    Of such a pair one group at least is outside the list's most frequent component, its main one, so those meet all others.
+    The bounds are part of the joins' conditions, signatures too: what cannot be alike is never a row. Members of a
     group share prefix and size only, so groups are told apart by the bits in which all members of either agree, and then
-    members by their own bits.
+    members by their own bits; in long lists, groups of one member by all of them.
     """
     marks = [f"s{i}" for i in range(FOLDS)]
-    members = store(members.join(reps.select("v", "n", *_folded(settings)), "v"), "marked")
+    members = store(members.join(reps.select("v", "n", "sig", *_folded()), "v"), "marked")
     agreed = [agg(m).alias(f"{m}_{name}") for m in marks for name, agg in (("all", F.bit_and), ("any", F.bit_or))]
-    purity = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *agreed)
+    agreed.append(F.first(F.when(F.col("size") == 1, F.col("sig"))).alias("sig"))
     bits = [f"{m}_{name}" for m in marks for name in ("all", "any")]
-    purity = store(purity, "purity")
+    purity = store(members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *agreed), "purity")
     rows = store(entries.drop("label").join(purity.select("g", "lo", "hi"), "g"), "rows")
-    live = rows.groupBy("shingle").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).filter("x <> y").select("shingle")
-    rows = rows.join(store(live, "live"), "shingle", "left_semi").withColumn("bucket", _bucket("n", 0.0, settings))
-    rows = store(rows.join(purity.select("g", *bits), "g"), "open")
-    both = F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket")
-    larger = rows.select("shingle", both, *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "i", "lo", "hi", *bits)))
-    order = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("g") < F.col("g_b")))
+    lists = rows.groupBy("shingle", "lo").agg(F.count("*").alias("c"), F.max("hi").alias("hi")).groupBy("shingle")
+    lists = lists.agg(F.min("lo").alias("x"), F.max("hi").alias("y"), F.max_by("lo", "c").alias("most"), F.sum("c").alias("c"))
+    live = store(lists.filter("x <> y").select("shingle", "most", (F.col("c") > LONG).alias("long")), "live")
+    main = ((F.col("lo") == F.col("most")) & (F.col("hi") == F.col("most"))).alias("main")
+    found = rows.join(live, "shingle").select("shingle", "g", "n", "i", "lo", "hi", "long", main).join(purity.select("g", *bits, "sig"), "g")
+    found = found.withColumn("sig", F.when(F.col("long"), F.col("sig"))).withColumn("bucket", _bucket("n", 0.0, settings))
+    found = store(found.drop("long"), "open")
+    discard(rows, purity)
+    others = found.select("shingle", "bucket", *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "i", "lo", "hi", "main", *bits, "sig")))
+    buckets = F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1))
+    apart = found.filter(~F.col("main")).withColumn("bucket", buckets)
+    once = (F.col("g") < F.col("g_b")) | (F.col("main_b") & (F.col("g") != F.col("g_b")))
     pure = (F.col("lo") == F.col("hi")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo") == F.col("lo_b"))
     near = _possible(F.col("n"), F.col("i"), F.col("n_b"), F.col("i_b"), settings)
     # Bits that all members of one group have and none of the other: they differ in every pair of members.
     lone = [F.bit_count(F.col(f"{m}_all{x}").bitwiseAND(F.bitwise_not(f"{m}_any{y}"))) for m in marks for x, y in (("", "_b"), ("_b", ""))]
     near &= _near(reduce(lambda x, y: x + y, lone), F.col("n"), F.col("n_b"), settings)
-    met = rows.join(larger, ["shingle", "bucket"]).filter(order & ~pure & near).select("g", "g_b").distinct()
+    near &= F.isnull("sig") | F.isnull("sig_b") | _near(_differ("sig", "sig_b"), F.col("n"), F.col("n_b"), settings)
+    met = store(apart.join(others, ["shingle", "bucket"]).filter(once & ~pure & near).select("g", "g_b").distinct(), "met")
     a, b = (members.select(F.col("g").alias(g), *(F.col(c).alias(f"{c}_{x}") for c in ("v", "label", "n", *marks))) for g, x in (("g", "a"), ("g_b", "b")))
     apart = _apart([F.col(f"{m}_a") for m in marks], [F.col(f"{m}_b") for m in marks])
     near = (F.col("label_a") != F.col("label_b")) & _near(apart, F.col("n_a"), F.col("n_b"), settings)
-    return store(met, "met").join(a, "g").join(b, "g_b").filter(near).select(F.col("v_a").alias("a"), F.col("v_b").alias("b"))
+    pairs = met.join(a, "g").join(b, "g_b").filter(near).select(F.col("v_a").alias("a"), F.col("v_b").alias("b"))
+    pairs = store(pairs, "crossed")
+    discard(members, found, met)
+    return pairs
 
 
 def _group_pairs(members: DataFrame) -> DataFrame:
@@ -393,6 +428,15 @@ def _group_pairs(members: DataFrame) -> DataFrame:
     return rows.join(other, "g").filter("v < b and label <> label_b").select(F.col("v").alias("a"), "b")
 
 
+def _distinct_lists(entries: DataFrame) -> DataFrame:
+    """The entries of one shingle of all that the same groups hold: any of them pairs what the others pair, for its bound on
+    like sets holds at each place that they share. Lists are known by two 64-bit sums of their groups and their length."""
+    names = [F.bit_xor(F.xxhash64("g")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "g")).alias("y")]
+    lists = entries.groupBy("shingle").agg(F.count("*").alias("c"), *names)
+    kept = store(lists.groupBy("c", "x", "y").agg(F.min("shingle").alias("shingle")).select("shingle"), "lists")
+    return entries.join(kept, "shingle", "left_semi")
+
+
 def near_components(
     docs: DataFrame,
     settings: Settings = Settings(),
@@ -402,17 +446,24 @@ def near_components(
 ) -> DataFrame:
     """(id, n, component) for every row of ``docs``."""
     counts = shingle_counts(docs, settings, text)
-    every = store(prefixes(docs, counts, settings, doc_id, text), "prefixes")
-    usable = every.filter("n > 0 and id is not null")
-    reps = usable.groupBy("v").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
-    reps = store(reps.withColumn("key", F.xxhash64("prefix")), "reps")
-    groups = store(reps.groupBy("n", "key").agg(F.min("v").alias("g"), F.count("*").alias("size")), "groups")
-    members = store(reps.select("v", "n", "key").join(groups, ["n", "key"]).select("v", "g", "size"), "members")
-    heads = reps.join(groups.select(F.col("g").alias("v")), "v", "left_semi")
-    entries = store(heads.select(F.col("v").alias("g"), "n", F.posexplode("prefix").alias("i", "shingle")), "entries")
+    made = store(prefixes(docs, counts, settings, doc_id, text), "prefixes")
+    every = store(made.select("id", "v", "n"), "ids")
+    usable = made.filter("n > 0 and id is not null")
+    whole = usable.groupBy("v").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
+    whole = store(whole.withColumn("key", F.xxhash64("prefix")), "whole")
+    discard(made)
+    groups = store(whole.groupBy("n", "key").agg(F.min("v").alias("g"), F.count("*").alias("size")), "groups")
+    members = store(whole.select("v", "n", "key").join(groups, ["n", "key"]).select("v", "g", "size"), "members")
+    heads = whole.join(groups.select(F.col("g").alias("v")), "v", "left_semi")
+    listed = store(heads.select(F.col("v").alias("g"), "n", F.posexplode("prefix").alias("i", "shingle")), "listed")
+    reps = store(whole.select("v", "id", "n", "sig"), "reps")
+    discard(whole)
     # A shingle that one group alone holds pairs nothing.
-    held = store(entries.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle"), "held")
-    entries = store(entries.join(held, "shingle", "left_semi"), "shared")
+    held = store(listed.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle"), "held")
+    shared = store(listed.join(held, "shingle", "left_semi"), "shared")
+    discard(listed, held)
+    entries = store(_distinct_lists(shared), "entries")
+    discard(shared)
 
     repeated = not every.groupBy("id").count().filter("count > 1").isEmpty()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(text).alias("text"))
@@ -433,9 +484,11 @@ def near_components(
     label = joined(label, _cross_pairs(entries, named, reps, settings).unionByName(_group_pairs(named)))
 
     # From sets back to rows: the least id of all rows whose sets are of one component.
+    usable = every.filter("n > 0 and id is not null")
     rows = store(_labelled(usable.select("id", "v"), label, "v"), "rows")
     least = store(rows.groupBy("label").agg(F.min("id").alias("component")), "least")
     found = rows.join(least, "label").select("id", "v", "component").distinct()
     found = store(found.filter("id <> component"), "found")
+    discard(reps, entries, members, groups, named, rows)
     out = every.select("id", "v", "n").join(found, ["id", "v"], "left")
     return out.select("id", "n", F.coalesce("component", "id").alias("component"))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from placeweave.llm.store import Shared
+from placeweave.llm.store import Shared, release
 
 # Byte classes: letters, then kinds of marks, then bytes of longer characters.
 MARKS = b"\n .,;:!?|#$%&*-_'\"/()"
@@ -150,6 +150,7 @@ def fit_rows(raw, labels, settings: Settings = Settings()) -> Model:
     for _ in range(6):
         axes = np.linalg.qr(rows.T @ (rows @ axes))[0]
     turn = np.linalg.svd(rows @ axes, full_matrices=False)[2].T
+    del rows
     model = Model(weights, (axes @ turn)[:, : settings.axes].astype(np.float32), None, labels, settings)
     model.vectors = model.project(raw).astype(np.float32)
     return model
@@ -199,7 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     del got
     # Row order depends on the plan; sorting by content makes the model the same each time.
     order = sorted(range(len(raw)), key=names.__getitem__)
-    return fit_rows(raw[order], y[order], settings)
+    raw, y = raw[order], y[order]
+    model = fit_rows(raw, y, settings)
+    del raw, row
+    release()
+    return model
 
 
 def scorer(docs: DataFrame, model: Model):

@@ -2,12 +2,13 @@
 
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
 from llm_helpers import random_words
 
-from placeweave.llm import covertree, graph, jaccard, layouts, pages
+from placeweave.llm import covertree, graph, jaccard, layouts, pages, store as store_module
 from placeweave.operators.sizing import BroadcastLimit
 
 
@@ -113,6 +114,60 @@ def test_jaccard_of_repeated_rows_and_empty_tables(spark):
     assert jaccard.near_components(df.limit(0)).count() == 0
 
 
+def test_jaccard_passage_in_many_texts_pairs_few_of_them(spark, monkeypatch):
+    # Sixty texts share nine tenths of their words and are still unlike; eight more are near copies of the first.
+    r = random.Random(23)
+    passage = random_words(r, 654)
+    texts = [" ".join(random_words(r, 46) + passage) for _ in range(60)]
+    texts += [" ".join(edited(r, texts[0].split(), 0.003)) for _ in range(8)]
+    ids = list(range(len(texts)))
+    seen, cross = [], jaccard._cross_pairs
+    monkeypatch.setattr(jaccard, "_cross_pairs", lambda *given: seen.append(cross(*given)) or seen[-1])
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(4)
+    got = jaccard.near_components(df)
+    assert sorted((tuple(x) for x in got.collect()), key=repr) == brute_components(ids, texts)
+    assert seen[0].count() < 60
+
+
+def test_jaccard_keeps_one_shingle_of_equal_lists(spark):
+    lists = {1: [7, 8], 2: [7, 8], -3: [8, 7], 4: [7, 8, 9], 5: [8, 9], 6: [7, 9]}
+    rows = [(shingle, g, 10, i) for i, (shingle, groups) in enumerate(lists.items()) for g in groups]
+    got = jaccard._distinct_lists(spark.createDataFrame(rows, "shingle long, g long, n long, i int").repartition(3))
+    assert sorted(tuple(x) for x in got.collect()) == sorted(x for x in rows if x[0] not in (1, 2))
+    assert jaccard._distinct_lists(got.limit(0)).count() == 0
+
+
+def test_jaccard_signatures_of_any_lengths_bound_how_many_shingles_differ(spark):
+    r = random.Random(29)
+    words = random_words(r, 900)
+    texts = [" ".join(words[:k]) for k in (3, 40, 120, 140, 250, 270, 500, 900)]
+    sizes = [len(x) for x in brute_sets(texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    settings = jaccard.Settings()
+    made = jaccard.prefixes(df, jaccard.shingle_counts(df, settings), settings, "doc_id", "text")
+    a, b = (made.select(*(made[c].alias(f"{c}_{x}") for c in ("id", "n", "sig"))) for x in "ab")
+    rows = a.crossJoin(b).select("id_a", "id_b", jaccard._differ("sig_a", "sig_b").alias("bits")).collect()
+    longs = {x["id"]: len(x["sig"]) for x in made.collect()}
+    assert [longs[i] for i in range(len(texts))] == [4, 4, 4, 8, 8, 16, 16, 32]
+    for i, j, bits in rows:
+        apart, widest = abs(sizes[i] - sizes[j]), max(longs[i], longs[j]) // min(longs[i], longs[j])
+        assert bits <= apart and bits == 0 if i == j or widest > 2 else 0 < bits <= apart
+
+
+def test_jaccard_removes_what_it_wrote_on_the_way(spark, tmp_path, monkeypatch):
+    r = random.Random(31)
+    base = random_words(r, 200)
+    texts = [" ".join(edited(r, base, 0.01)) for _ in range(12)] + [" ".join(random_words(r, 150)) for _ in range(12)]
+    monkeypatch.setattr(store_module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    before = spark.conf.get(store_module.CLEANUP, None)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard.near_components(df)
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert left.isdisjoint({"prefixes", "whole", "listed", "held", "shared", "entries", "sets", "reps", "open", "rows", "marked", "purity"})
+    assert sorted((tuple(x) for x in got.collect()), key=repr) == brute_components(list(range(len(texts))), texts)
+    assert spark.conf.get(store_module.CLEANUP, None) == before
+
+
 def test_word_hashes_across_blocks(monkeypatch):
     r = random.Random(2)
     text = " ".join(random_words(r, 3000)) + " " + "q" * 5000 + "\t" + " ".join(random_words(r, 300))
