@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     got = labelled_sample(docs, labels, settings).mapInArrow(rows, "raw binary, quality int").toArrow()
     y = got.column("quality").to_numpy()
     raw = np.empty((len(y), WIDTH), np.float32)
-    names = []
+    names, row = [], None
     for i, row in enumerate(got.column("raw")):
         raw[i] = np.frombuffer(row.as_buffer(), np.float32)
         names.append((blake2b(raw[i]).digest(), y[i]))
